@@ -3,20 +3,24 @@
 from __future__ import annotations
 
 from . import exact_dedup
+from .chunk_dedup import op3_substring_dedup
 from .exact_dedup import op6_exact_dedup
 from .line_dedup import op9_line_dedup
 from .mixing import op8_temperature_mix
 from .secret_scan import op1_secret_scan
 from .sharding import op5_histogram_sharding
 from .simhash import op4_simhash_near_dedup
+from .suffix_dedup import op10_suffix_dedup
 
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
+    "op3_substring_dedup": op3_substring_dedup,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
     "op5_histogram_sharding": op5_histogram_sharding,
     "op6_exact_dedup": op6_exact_dedup,
     "op8_temperature_mix": op8_temperature_mix,
     "op9_line_dedup": op9_line_dedup,
+    "op10_suffix_dedup": op10_suffix_dedup,
 }
 
 ORACLES = {
