@@ -130,7 +130,7 @@ class Landmarks:
         order = np.argsort(own, kind="stable")
         r, own, w = r[order], own[order], w[order]
         out = np.zeros((len(words), len(self.words)), np.float32)
-        part = 200_000
+        part = max(1000, 8_000_000 // max(1, len(self.words)))  # a few dozen MB at a time
         at = 0
         while at < len(r):
             to = min(at + part, len(r))
