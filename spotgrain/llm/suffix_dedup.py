@@ -363,9 +363,16 @@ def shard_rows(docs: pa.Table, keys: pa.Table, width: int) -> pa.Table:
             add(**x, spans=span.astype("<i4").tobytes(), body=texts[d])
         else:
             add(**x, **kept_of(texts[d], span))
-    for k, d, p, q in zip(ask.tolist(), doc.tolist(), low.tolist(), high.tolist()):
-        add(kind=1, key=int(key[k]), doc_id=int(ids[d]), row=int(row[d]), lo=int(p - offsets[d]), anchor=int(at[k] - p), body=data[p : q + width].tobytes())
-    return pa.Table.from_pydict(out, schema=SHARD_TYPES)
+    one = pa.Table.from_pydict(out, schema=SHARD_TYPES)
+    if not len(ask):
+        return one
+    size = high + width - low
+    ends = np.cumsum(size)
+    body = data[np.arange(ends[-1]) + np.repeat(low - (ends - size), size)]
+    bodies = pa.Array.from_buffers(pa.binary(), len(ask), [None, pa.py_buffer(np.concatenate([[0], ends]).astype(np.int32)), pa.py_buffer(body)])
+    cols = {"kind": np.ones(len(ask)), "key": key[ask], "doc_id": ids[doc], "row": row[doc], "lo": low - offsets[doc], "anchor": at[ask] - low}
+    arrays = [bodies if f.name == "body" else pa.array(cols[f.name]).cast(f.type) if f.name in cols else pa.nulls(len(ask), f.type) for f in SHARD_TYPES]
+    return pa.concat_tables([one, pa.Table.from_arrays(arrays, schema=SHARD_TYPES)])
 
 
 def kept_of(text: bytes, spans: np.ndarray) -> dict:
