@@ -36,3 +36,33 @@ def low_support(counts: DataFrame) -> DataFrame:
     c = counts.withColumn("top", top)
     ties = F.count_if(F.col("reads") == F.col("top")).over(w)
     return c.withColumn("low", (F.col("reads") < F.col("top")) | (ties > 1)).drop("top")
+
+
+def correct_barcodes(observed: DataFrame, known: DataFrame, threshold: float = 0.975, max_errors: float = 1.0) -> DataFrame:
+    """(barcode, quality) with ``corrected``: of the known barcodes one
+    substitution away the likeliest, null if none is likely enough.
+
+    A substitution weighs 10^-((min(q, 66) - 33) / 10) at its base times one
+    plus the known barcode's ``count``; the best needs ``threshold`` of the
+    sum, and the read under ``max_errors`` expected errors.  ``quality`` is an
+    array of numbers."""
+    chance = lambda q: F.pow(F.lit(10.0), (33 - q) / 10.0)
+    seen = observed.select("barcode", "quality").distinct()
+    errors = F.aggregate("quality", F.lit(0.0), lambda a, q: a + chance(q))
+    trial = seen.where(errors < max_errors).select(
+        F.col("barcode").alias("seen"), "quality", F.posexplode(neighbours(F.col("barcode"))).alias("i", "barcode")
+    )
+    # Three neighbours for each base, in order.
+    base = F.get("quality", F.floor(F.col("i") / 3).cast("int"))
+    trial = trial.select("seen", "quality", "barcode", chance(F.least(base, F.lit(66))).alias("p"))
+    hit = trial.join(known.select("barcode", "count"), "barcode").withColumn("weight", F.col("p") * (1 + F.coalesce("count", F.lit(0))))
+    best = hit.groupBy("seen", "quality").agg(F.max(F.struct("weight", "barcode")).alias("b"), F.sum("weight").alias("t"))
+    best = best.where(F.col("b.weight") / F.col("t") >= threshold).select(F.col("seen").alias("barcode"), "quality", F.col("b.barcode").alias("corrected"))
+    return observed.join(best, ["barcode", "quality"], "left")
+
+
+def molecules_of(reads: DataFrame) -> DataFrame:
+    """Reads (barcode, umi, gene, kind, name) to molecules with their count
+    and the representative, the smallest (kind, name)."""
+    g = reads.groupBy("barcode", "umi", "gene").agg(F.count("*").alias("reads"), F.min(F.struct("kind", "name")).alias("r"))
+    return g.select("barcode", "umi", "gene", "reads", F.col("r.kind").alias("kind"), F.col("r.name").alias("name"))

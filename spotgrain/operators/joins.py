@@ -31,3 +31,26 @@ def last_before(left: DataFrame, right: DataFrame, key: str, at: str, value: str
     )
     w = Window.partitionBy(key).orderBy(at, "is_left").rowsBetween(Window.unboundedPreceding, 0)
     return both.withColumn("asof", F.last(value, ignorenulls=True).over(w)).where("is_left = 1").select("row.*", F.col("asof").alias(f"last_{value}"))
+
+
+def overlapping(left: DataFrame, right: DataFrame, width: int) -> DataFrame:
+    """Pairs of closed intervals that share a place: left (lo, hi), right
+    (start, end), all of the columns.  Both go to the buckets they touch; a
+    pair is taken only in the bucket where the later of the two begins."""
+    spread = lambda df, a, b: df.withColumn("ov_b", F.explode(F.sequence(F.floor(F.col(a) / width), F.floor(F.col(b) / width))))
+    l = spread(left.where("lo <= hi"), "lo", "hi")  # noqa: E741
+    r = spread(right.where("start <= end"), "start", "end")
+    both = l.join(r, "ov_b").where("lo <= end AND start <= hi")
+    return both.where(F.col("ov_b") == F.floor(F.greatest("lo", "start") / width)).drop("ov_b")
+
+
+def nearest_on_grid(spots: DataFrame, targets: DataFrame, radius: int) -> DataFrame:
+    """``spots`` (row, col) with the nearest of ``targets`` (row, col, target)
+    within ``radius`` and its squared distance; of equally near ones the
+    offset first in row-major order.  An equality join on the offsets."""
+    offsets = sorted((a * a + b * b, a, b) for a in range(-radius, radius + 1) for b in range(-radius, radius + 1) if a * a + b * b <= radius * radius)
+    near = F.array(*[F.struct(F.lit(d).alias("d2"), F.lit(a).alias("da"), F.lit(b).alias("db")) for d, a, b in offsets])
+    t = targets.select("row", "col", "target", F.explode(near).alias("o"))
+    t = t.select((F.col("row") - F.col("o.da")).alias("row"), (F.col("col") - F.col("o.db")).alias("col"), F.struct("o.d2", "o.da", "o.db", "target").alias("x"))
+    best = t.groupBy("row", "col").agg(F.min("x").alias("x"))
+    return spots.join(best, ["row", "col"], "left").select(*spots.columns, F.col("x.target").alias("target"), F.col("x.d2").alias("d2"))

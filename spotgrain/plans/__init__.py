@@ -1 +1,3 @@
+"""Queries over the driver's tables; importing the package registers them all."""
 
+from . import analysis, queries  # noqa: F401
