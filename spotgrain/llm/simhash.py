@@ -8,8 +8,8 @@ fingerprints that link agree on two at least, so each fingerprint goes to ten
 buckets.  A bucket of any size is searched with the index: fingerprints in
 Gray rank order, nodes of 16 neighbours above them and so on up; a node keeps
 the bits that all below it share and its parent has not; the differences from
-the query add up on the way down, and a group over 3 is pruned whole.  Large
-buckets are cut into tiles whose pairs are separate groups.  A bucket passes on
+the query add up on the way down, and a group over 3 is pruned whole, as is one whose members
+are all linked to the query already.  Large buckets are cut into tiles whose pairs are separate groups.  A bucket passes on
 one edge for each fingerprint that is not the root of its links, never all pairs.
 
 Cases: null and empty texts have fingerprint zero and link like any other; a
@@ -38,7 +38,7 @@ LOWER[65:91] += 32
 RADIUS = 3
 BLOCKS = ((0, 13), (13, 13), (26, 13), (39, 13), (52, 12))
 FAN = 16
-TILE = 1024
+TILE = 8192
 
 
 def _rotl(x: np.ndarray, r: int) -> np.ndarray:
@@ -168,15 +168,25 @@ class GrayIndex:
             self.levels.append((~(both ^ either), both))
         self.levels.reverse()  # the root first
 
-    def links(self, lo: int, hi: int) -> tuple[np.ndarray, np.ndarray]:
-        """Pairs (i, j), lo <= i < hi and i < j, within RADIUS."""
+    def classes(self, root: np.ndarray) -> list[np.ndarray]:
+        """For each level, the class that all below a node are in, or -1."""
+        low, high, out = root, root, []
+        while len(low) > 1:
+            starts = np.arange(0, len(low), FAN)
+            low, high = np.minimum.reduceat(low, starts), np.maximum.reduceat(high, starts)
+            out.append(np.where(low == high, low, -1))
+        return out[::-1]
+
+    def links(self, lo: int, hi: int, root: np.ndarray, classes: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs (i, j), lo <= i < hi and i < j, within RADIUS and of two
+        classes so far: a group wholly of the query's class is pruned too."""
         q = np.arange(lo, hi)
         node, acc = np.zeros(len(q), np.int64), np.zeros(len(q), np.uint8)
         above = None
         for k, (mask, pattern) in enumerate(self.levels):
             own = mask[node] if above is None else mask[node] & ~above
             acc = acc + np.bitwise_count((self.fps[q] ^ pattern[node]) & own)
-            ok = acc <= RADIUS
+            ok = (acc <= RADIUS) & (classes[k][node] != root[q])
             q, node, acc = q[ok], node[ok], acc[ok]
             above = mask[node]
             width = len(self.levels[k + 1][0]) if k + 1 < len(self.levels) else len(self.fps)
@@ -187,37 +197,45 @@ class GrayIndex:
             q, node, acc, above = q[ok], child[ok], acc[ok], above[ok]
         if above is None:
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        ok = (acc + np.bitwise_count((self.fps[q] ^ self.fps[node]) & ~above) <= RADIUS) & (node > q)
+        ok = (acc + np.bitwise_count((self.fps[q] ^ self.fps[node]) & ~above) <= RADIUS) & (node > q) & (root[node] != root[q])
         return q[ok], node[ok]
 
 
-def roots(n: int, pairs: Iterator[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
-    """The smallest index linked to each of n, over chunks of pairs."""
-    root = np.arange(n)
-    for i, j in pairs:
+def joined(root: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """``root``, the smallest index linked to each, after the links (i, j) too."""
+    while True:
+        a, b = root[i], root[j]
+        far = a != b
+        if not far.any():
+            return root
+        i, j, a, b = i[far], j[far], a[far], b[far]
+        root = root.copy()
+        np.minimum.at(root, np.maximum(a, b), np.minimum(a, b))
         while True:
-            a, b = root[i], root[j]
-            far = a != b
-            if not far.any():
+            up = root[root]
+            if (up == root).all():
                 break
-            i, j, a, b = i[far], j[far], a[far], b[far]
-            np.minimum.at(root, np.maximum(a, b), np.minimum(a, b))
-            while True:
-                up = root[root]
-                if (up == root).all():
-                    break
-                root = up
-    return root
+            root = up
 
 
 def group_edges(fps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Edges (fingerprint, root) that connect what links within one bucket."""
     fps = np.unique(fps)
     fps = fps[np.argsort(gray_rank(fps), kind="stable")]
+    n, step = len(fps), 256
+    root = np.arange(n)
+    # Neighbours in Gray order first: most of a dense group is one class then.
+    for k in range(1, min(FAN, n)):
+        i = np.flatnonzero(np.bitwise_count(fps[k:] ^ fps[:-k]) <= RADIUS)
+        root = joined(root, i, i + k)
     index = GrayIndex(fps)
-    step = 256
-    root = roots(len(fps), (index.links(lo, min(lo + step, len(fps))) for lo in range(0, len(fps), step)))
-    own = np.flatnonzero(root != np.arange(len(fps)))
+    classes = index.classes(root)
+    for lo in range(0, n, step):
+        i, j = index.links(lo, min(lo + step, n), root, classes)
+        if len(i):
+            root = joined(root, i, j)
+            classes = index.classes(root)
+    own = np.flatnonzero(root != np.arange(n))
     return fps[own], fps[root[own]]
 
 
@@ -277,7 +295,7 @@ def fingerprint_edges(fps: DataFrame) -> DataFrame:
     if not n_large:
         dealt = rows.withColumn("tile", F.lit(0).cast("long"))
     else:
-        # TILE rows lie in each, so the table is a hundredth of the rows at most.
+        # Over TILE rows lie in each, so the table is a thousandth of the rows at most.
         large = large.select(F.col("combo").alias("c"), F.col("bucket").alias("b"), F.ceil(F.col("count") / (TILE // 2)).cast("long").alias("tiles"))
         large = F.broadcast(large) if n_large <= 100_000 else large
         j = rows.join(large, (F.col("combo") == F.col("c")) & (F.col("bucket") == F.col("b")), "left")
