@@ -1,13 +1,14 @@
-"""Line dedup on content-defined chunks of lines.
+"""Line dedup on repeated windows of two lines.
 
-A cut before a line depends on a rolling hash over the hashes of that line and
-the one before, so chunks keep their borders when lines are inserted
-elsewhere.  Chunks of two lines and more that occur more than once in the
-corpus go, but for the first occurrence (smallest doc_id, then first line).
-Whether two chunks are equal is decided on their bytes: they are grouped by
-their whole text; hashes only carry the verdict back.
+Each line starts a window of ``min_lines`` lines.  A window that an earlier
+place holds too goes, so of a run of two lines and more that occurs more than
+once in the corpus all lines go, but for the first occurrence (smallest
+doc_id, then first line).  A window that overlaps its own first occurrence
+stays.  Whether two windows are equal is decided on their bytes: they are
+grouped by their whole text; hashes only say which windows need that, and
+carry the verdict back.
 
-Cases: a null or empty text has no chunk of two lines; rows that share a
+Cases: a null or empty text has no window of two lines; rows that share a
 doc_id are judged as one document; a null doc_id comes last in order; an empty
 table gives an empty result.
 """
@@ -17,61 +18,74 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import docs_of, table
+from .common import docs_of, materialize, table
 
-PRIME = (1 << 31) - 1
 LAST = (1 << 63) - 1
 
 
-def line_chunks(docs: DataFrame, mean_lines: int = 3, min_lines: int = 2) -> DataFrame:
-    """(doc_id, first, last, chunk): lines first to last - 1, from 0."""
+def split_lines(docs: DataFrame, min_lines: int) -> DataFrame:
     d = docs_of(docs).select("doc_id", F.split("text", "\n", -1).alias("lines"))
-    d = d.where(F.size("lines") >= min_lines)
-    d = d.withColumn("h", F.transform("lines", lambda x: F.pmod(F.xxhash64(x), F.lit(PRIME))))
-    rolled = F.filter(
-        F.sequence(F.lit(1), F.size("h") - 1),
-        lambda i: F.pmod(F.pmod(F.col("h")[i] + F.col("h")[i - 1] * 1_000_003, F.lit(PRIME)), F.lit(mean_lines)) == 0,
-    )
-    d = d.withColumn("cuts", F.concat(F.array(F.lit(0)), rolled, F.array(F.size("lines"))))
-    spans = F.transform(
-        F.sequence(F.lit(0), F.size("cuts") - 2),
-        lambda i: F.struct(F.col("cuts")[i].alias("first"), F.col("cuts")[i + 1].alias("last")),
-    )
-    long = F.filter(spans, lambda x: x["last"] - x["first"] >= min_lines)
-    d = d.select("doc_id", F.explode(F.transform(long, lambda x: F.struct(x["first"].alias("first"), x["last"].alias("last"), F.array_join(F.slice("lines", x["first"] + 1, x["last"] - x["first"]), "\n").alias("chunk")))).alias("x"))
-    return d.select("doc_id", "x.first", "x.last", "x.chunk")
+    return d.where(F.size("lines") >= min_lines)
+
+
+def window_hashes(docs: DataFrame, min_lines: int = 2) -> DataFrame:
+    """(doc_id, first, h) of every window of ``min_lines`` lines, lines from 0."""
+    # One pass over each document: a look-up by place in a lambda would split the text again for each line.
+    h, *more = [F.slice("lines", F.lit(k + 1), F.size("lines") - (min_lines - 1)) for k in range(min_lines)]
+    for x in more:
+        h = F.zip_with(h, x, lambda a, b: F.xxhash64(a, b))
+    return split_lines(docs, min_lines).select("doc_id", F.posexplode(h).alias("first", "h"))
+
+
+def line_windows(docs: DataFrame, min_lines: int = 2) -> DataFrame:
+    """(doc_id, first, chunk): the windows whose hash comes more than once.
+    Each window of a text that another has is among them."""
+    hashes = materialize(window_hashes(docs, min_lines), "line-hashes")
+    again = hashes.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
+    hit = hashes.join(again, "h", "left_semi").groupBy(F.coalesce("doc_id", F.lit(LAST)).alias("key")).agg(F.collect_set("first").alias("at"))
+    d = split_lines(docs, min_lines).withColumn("key", F.coalesce("doc_id", F.lit(LAST))).join(hit, "key")
+    # Rows that share a doc_id share the places; a row may be too short for some.
+    at = F.filter("at", lambda i: i + min_lines <= F.size("lines"))
+    text = F.transform(at, lambda i: F.struct(i.alias("first"), F.array_join(F.slice("lines", i + 1, min_lines), "\n").alias("chunk")))
+    return d.select("doc_id", F.explode(text).alias("x")).select("doc_id", "x.first", "x.chunk")
 
 
-def repeated_chunks(chunks: DataFrame) -> DataFrame:
-    """(doc_id, first, last) of the chunks to remove."""
+def repeated_windows(windows: DataFrame, min_lines: int = 2) -> DataFrame:
+    """(doc_id, first) of the windows to remove."""
     place = F.coalesce("doc_id", F.lit(LAST)).cast("decimal(20,0)") * F.lit(1 << 31).cast("decimal(11,0)") + F.col("first")
     place = place.cast("decimal(38,0)")
     name = [F.unhex(F.md5("chunk")).alias("digest"), F.octet_length("chunk").alias("n")]
     # The hash aggregate compares whole texts; copies of one task become one row before they move.
-    texts = chunks.groupBy("chunk").agg(F.count("*").alias("copies"), F.min(place).alias("owner"))
+    texts = windows.groupBy("chunk").agg(F.count("*").alias("copies"), F.min(place).alias("owner"))
     by_name = texts.select(*name, "copies", "owner").groupBy("digest", "n").agg(F.count("*").alias("texts"), F.max("copies").alias("copies"), F.min("owner").alias("owner"))
-    # A name that two texts share proves nothing; its chunks stay.
+    # A name that two texts share proves nothing; its windows stay.
     by_name = by_name.where("copies > 1 AND texts = 1").select("digest", "n", "owner")
-    occ = chunks.select("doc_id", "first", "last", place.alias("place"), *name)
-    return occ.join(by_name, ["digest", "n"]).where("place <> owner").select("doc_id", "first", "last")
+    occ = windows.select("doc_id", "first", place.alias("place"), *name)
+    return occ.join(by_name, ["digest", "n"]).where(F.col("place") - F.col("owner") >= min_lines).select("doc_id", "first")
 
 
-def line_dedup(docs: DataFrame, mean_lines: int = 3) -> DataFrame:
-    """(doc_id, removed): the line ranges to remove, for documents with any."""
-    gone = repeated_chunks(line_chunks(docs, mean_lines))
-    return gone.groupBy(F.coalesce("doc_id", F.lit(LAST)).alias("doc_id")).agg(F.array_sort(F.collect_set(F.struct("first", "last"))).alias("removed"))
+def line_dedup(docs: DataFrame, min_lines: int = 2) -> DataFrame:
+    """(doc_id, removed): the line ranges to remove, as long as possible, for
+    documents with any."""
+    gone = repeated_windows(materialize(line_windows(docs, min_lines), "line-windows"), min_lines)
+    d = gone.groupBy(F.coalesce("doc_id", F.lit(LAST)).alias("doc_id")).agg(F.array_sort(F.collect_set("first")).alias("at"))
+    # Windows that overlap or touch are one range.
+    begins = F.filter("at", lambda x, i: (i == 0) | (x - F.get("at", i - 1) > min_lines))
+    ends = F.filter("at", lambda x, i: (i == F.size("at") - 1) | (F.get("at", i + 1) - x > min_lines))
+    ends = F.transform(ends, lambda x: x + min_lines)
+    return d.select("doc_id", F.arrays_zip(begins.alias("first"), ends.alias("last")).alias("removed"))
 
 
-def with_removed(docs: DataFrame, mean_lines: int, *columns) -> DataFrame:
+def with_removed(docs: DataFrame, min_lines: int, *columns) -> DataFrame:
     d = docs_of(docs).select("doc_id", F.coalesce("doc_id", F.lit(LAST)).alias("key"), *columns)
-    gone = line_dedup(docs, mean_lines).select(F.col("doc_id").alias("key"), "removed")
+    gone = line_dedup(docs, min_lines).select(F.col("doc_id").alias("key"), "removed")
     none = F.array().cast("array<struct<first:int,last:int>>")
     return d.join(gone, "key", "left").select("doc_id", *[c for c in d.columns if c not in ("doc_id", "key")], F.coalesce("removed", none).alias("removed"))
 
 
-def cleaned_lines(docs: DataFrame, mean_lines: int = 3) -> DataFrame:
-    """(doc_id, text) with the repeated chunks taken out."""
-    r = with_removed(docs, mean_lines, "text").withColumn("lines", F.split("text", "\n", -1))
+def cleaned_lines(docs: DataFrame, min_lines: int = 2) -> DataFrame:
+    """(doc_id, text) with the repeated ranges taken out."""
+    r = with_removed(docs, min_lines, "text").withColumn("lines", F.split("text", "\n", -1))
     kept = F.filter("lines", lambda x, i: ~F.exists("removed", lambda y: (y["first"] <= i) & (i < y["last"])))
     return r.select("doc_id", F.array_join(kept, "\n").alias("text"))
 
@@ -79,7 +93,7 @@ def cleaned_lines(docs: DataFrame, mean_lines: int = 3) -> DataFrame:
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: its lines, how many go, and the ranges that go."""
     lines = (F.length("text") - F.length(F.replace(F.col("text"), F.lit("\n"), F.lit(""))) + 1).cast("long")
-    r = with_removed(table(spark, sf_dir, "documents"), 3, lines.alias("n_lines"))
+    r = with_removed(table(spark, sf_dir, "documents"), 2, lines.alias("n_lines"))
     ranges = F.transform("removed", lambda x: F.concat_ws(":", x["first"].cast("string"), x["last"].cast("string")))
     return r.select(
         "doc_id", "n_lines",

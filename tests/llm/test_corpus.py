@@ -7,7 +7,7 @@ import pytest
 import xxhash
 
 from spotgrain.llm import decontaminate, exact_dedup, secret_scan, sharding, simhash, suffix_dedup
-from spotgrain.llm.line_dedup import cleaned_lines
+from spotgrain.llm.line_dedup import cleaned_lines, line_dedup
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, fp string, key string, spans string"
 PASSAGE = "the quick brown fox jumps over the lazy dog while nineteen tall ships sail slowly past the old harbour wall at dawn today "
@@ -107,3 +107,25 @@ def test_line_dedup(docs, empty):
     assert got[12] == dict(ROWS)[12]
     assert len(got[13]) < len(dict(ROWS)[13])
     assert cleaned_lines(empty).count() == 0
+
+
+def test_line_dedup_short_passages(spark):
+    lines = {k: [f"licence {k} line {j}" for j in range(k)] for k in (2, 3, 4)}
+    texts, own = {}, iter(range(10_000))
+    for c in range(6):  # every passage in several documents that differ around it
+        for k, p in lines.items():
+            texts[10 * c + k] = [f"own {next(own)}", *p, f"own {next(own)}", f"own {next(own)}"]
+    texts |= {100: ["a"] * 3, 101: ["b"] * 5, 102: ["licence 4 line 3", "own"], 103: [*lines[2], *lines[3]], 104: ["own 1"]}
+    seen, want = {}, {}
+    for i, t in sorted(texts.items()):
+        gone = set()
+        for p in range(len(t) - 1):
+            d, q = seen.setdefault((t[p], t[p + 1]), (i, p))
+            if (d, q) != (i, p) and not (d == i and p - q < 2):
+                gone |= {p, p + 1}
+        want[i] = "\n".join(x for p, x in enumerate(t) if p not in gone)
+    assert all(not (set(p) & set(want[10 * c + k].split("\n"))) for k, p in lines.items() for c in range(1, 6))
+    docs = spark.createDataFrame([(i, "\n".join(t)) for i, t in texts.items()], "doc_id long, text string")
+    got = {r.doc_id: r.text for r in cleaned_lines(docs).collect()}
+    assert got == want
+    assert {r.doc_id: [tuple(x) for x in r.removed] for r in line_dedup(docs).collect()}[103] == [(0, 5)]
