@@ -6,7 +6,10 @@ encoding, Wald-Wolfowitz runs about the alphabet's middle, lag-1 serial
 correlation) gives one p-value under "the characters are drawn evenly"; its
 cut is set for each encoding and length band so that the estimated share of
 ordinary tokens among the reported ones stays under ``fdr`` (Storey's
-estimate of the random share).  Everything is a SQL expression.
+estimate of the random share).  The estimate counts distinct tokens; bands
+with few of them borrow from the nearest lengths of their encoding, and an
+encoding with few in all is cut at a fixed level.  Everything is a SQL
+expression.
 
 Cases: a null or empty text has no spans; a null doc_id is kept; repeated
 rows are reported once each; an empty table gives an empty result.
@@ -36,6 +39,8 @@ ENCODINGS = (
     ("base64url", "^[A-Za-z0-9_-]+$", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-_"),
 )
 BINS = 100
+#: Distinct tokens that the estimate needs; under that p >= 0.01 is reported.
+FEW, LEVEL = 200, 1
 
 
 def match_spans(text: Column, pattern: str, kind: str, order: int, first: Column | None = None) -> Column:
@@ -81,7 +86,7 @@ def normal_tail(z: Column) -> Column:
 def battery(token: Column) -> Column:
     """struct(enc, n, p) of a token: p is Fisher's combination of the three
     tests.  enc is null where the token fits no encoding or mixes no classes."""
-    body = F.rtrim(F.lit("="), token)
+    body = F.rtrim(token, F.lit("="))
     enc = F.coalesce(*[F.when(body.rlike(rx), F.lit(i)) for i, (_, rx, _) in enumerate(ENCODINGS)])
     # Words are of one class of letters; encoded bytes of this length hardly ever.
     mixed = body.rlike("[0-9]") & body.rlike("[A-Za-z]")
@@ -137,7 +142,7 @@ def secret_spans(docs: DataFrame, fdr: float = 0.05) -> DataFrame:
     d = d.select("doc_id", assign.alias("a"), access.alias("c"), hexes.alias("h"), cand.alias("r"))
     d = d.select("doc_id", F.concat("a", "c", "h").alias("base"), "r")
     free = F.filter("r", lambda x: ~F.exists("base", lambda y: (y["start"] < x["end"]) & (x["start"] < y["end"])))
-    tested = F.transform(free, lambda x: F.struct(x["start"].alias("start"), x["ord"].alias("ord"), x["kind"].alias("kind"), x["end"].alias("end"), battery(x["token"]).alias("b")))
+    tested = F.transform(free, lambda x: F.struct(x["start"].alias("start"), x["ord"].alias("ord"), x["kind"].alias("kind"), x["end"].alias("end"), F.unhex(F.md5(x["token"])).alias("digest"), battery(x["token"]).alias("b")))
     kept = F.filter(tested, lambda x: x["b"]["enc"].isNotNull() & x["b"]["mixed"])
     final = F.transform(
         kept,
@@ -145,6 +150,7 @@ def secret_spans(docs: DataFrame, fdr: float = 0.05) -> DataFrame:
             x["start"].alias("start"), x["ord"].alias("ord"), x["kind"].alias("kind"), x["end"].alias("end"),
             (x["b"]["enc"] * 64 + F.floor(F.log2(x["b"]["n"]) * 2).cast("int")).alias("stratum"),
             F.least(F.floor(p_value(x["b"]) * BINS).cast("int"), F.lit(BINS - 1)).alias("bin"),
+            x["digest"].alias("digest"),
         ),
     )
     bare = F.transform("base", lambda x: F.struct(x["start"].alias("start"), x["ord"].alias("ord"), x["kind"].alias("kind"), x["end"].alias("end")))
@@ -158,22 +164,39 @@ def secret_spans(docs: DataFrame, fdr: float = 0.05) -> DataFrame:
 
 def false_discovery_cuts(spans: DataFrame, fdr: float) -> dict[int, int]:
     """The lowest p-value bin to report, by stratum (encoding and half octave
-    of length).  The histogram has at most strata x BINS rows, whatever the
-    size of the corpus."""
-    rows = spans.select(F.explode("cand").alias("x")).groupBy("x.stratum", "x.bin").count().collect()
+    of length).  Copies of a token count once.  The histogram has at most
+    strata x BINS rows, whatever the size of the corpus."""
+    tokens = spans.select(F.explode("cand").alias("x")).select("x.stratum", "x.bin", "x.digest").distinct()
+    rows = tokens.groupBy("stratum", "bin").count().collect()
     strata: dict[int, list[int]] = {}
     for stratum, b, n in rows:
         strata.setdefault(stratum, [0] * BINS)[b] += n
-    cuts = {}
-    for stratum, hist in strata.items():
-        even = 2 * sum(hist[BINS // 2 :]) / BINS  # random tokens a bin
-        above, best = 0, BINS // 2
-        for b in range(BINS - 1, -1, -1):
-            above += hist[b]
-            if b <= BINS // 2 and above and 1 - even * (BINS - b) / above <= fdr:
-                best = b
-        cuts[stratum] = best
-    return cuts
+    return {s: storey_cut(pooled(strata, s), fdr) for s in strata}
+
+
+def pooled(strata: dict[int, list[int]], stratum: int) -> list[int]:
+    """The stratum's histogram; with under FEW tokens, with the nearest
+    lengths of its encoding added until there are as many."""
+    hist = [0] * BINS
+    for far in range(64):
+        for s in {stratum - far, stratum + far}:
+            if s in strata and s // 64 == stratum // 64:
+                hist = [x + y for x, y in zip(hist, strata[s])]
+        if sum(hist) >= FEW:
+            break
+    return hist
+
+
+def storey_cut(hist: list[int], fdr: float) -> int:
+    if sum(hist) < FEW:
+        return LEVEL
+    even = 2 * sum(hist[BINS // 2 :]) / BINS  # random tokens a bin
+    above, best = 0, BINS // 2
+    for b in range(BINS - 1, -1, -1):
+        above += hist[b]
+        if b <= BINS // 2 and above and 1 - even * (BINS - b) / above <= fdr:
+            best = b
+    return best
 
 
 def joined(spans: Column) -> Column:

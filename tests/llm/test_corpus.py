@@ -1,6 +1,7 @@
 """Corpus operators against brute force on small tables with odd rows."""
 
 import hashlib
+import random
 import re
 
 import pytest
@@ -129,3 +130,27 @@ def test_line_dedup_short_passages(spark):
     got = {r.doc_id: r.text for r in cleaned_lines(docs).collect()}
     assert got == want
     assert {r.doc_id: [tuple(x) for x in r.removed] for r in line_dedup(docs).collect()}[103] == [(0, 5)]
+
+
+def test_secret_cut_counts_tokens_once(spark):
+    def cut(rows):  # (stratum, bin, token, copies)
+        one = lambda s, b, t: (s, b, t.encode())
+        data = [([one(s, b, t)] * n,) for s, b, t, n in rows]
+        return secret_scan.false_discovery_cuts(spark.createDataFrame(data, "cand array<struct<stratum:int,bin:int,digest:binary>>"), 0.05)
+
+    assert cut([(8, 30, "lone", 1000)])[8] <= 30
+    ordinary = [(8, 0, f"plain {k}", 1) for k in range(5000)]
+    assert cut([*ordinary, (8, 60, "copied", 10_000)])[8] > 0
+    even = [(8, k % 100, f"even {k}", 1) for k in range(500)]
+    assert cut(even)[8] == cut([*even, (8, 40, "copied", 1000)])[8] == 0
+    # A small stratum follows the next length, not another encoding.
+    got = cut([*ordinary, (9, 30, "long", 1), (72, 0, "other", 1)])
+    assert (got[9], got[72]) == (got[8], secret_scan.LEVEL)
+
+
+def test_lone_secrets_are_reported(spark):
+    rng = random.Random(4)
+    tokens = ["".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789") for _ in range(24 + 8 * k)) for k in range(12)]
+    docs = spark.createDataFrame([(k, f"see {t} here") for k, t in enumerate(tokens)], "doc_id long, text string")
+    got = {r.doc_id: [(x["start"], x["end"]) for x in r["random"]] for r in secret_scan.secret_spans(docs).collect()}
+    assert got == {k: [(4, 4 + len(t))] for k, t in enumerate(tokens)}
