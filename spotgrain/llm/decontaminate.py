@@ -9,6 +9,11 @@ no more than k apart: shared q-grams are counted in diagonal bands of width
 2 (k + 1) that overlap by half, bands that reach the bound are kept, and a
 banded alignment verifies them.
 
+The same holds for parts of an item: its overlapping regions of REGION
+characters, one every STRIDE, each have an edit budget of their own.  A passage
+of REGION + STRIDE - 1 characters holds a whole region, wherever it begins.
+Regions found next to each other are aligned again as one passage.
+
 The benchmark is the small side: it is indexed in parts of ``part_chars``
 characters, each part passing over the documents once, so what is broadcast
 has a bound however large the benchmark.
@@ -29,11 +34,12 @@ from pyspark.sql import functions as F
 from .common import docs_of, table
 
 Q, RATE, PART_CHARS = 8, 0.1, 4_000_000
+REGION, STRIDE = 64, 16
 BASE = 0x9E3779B97F4A7C15 | 1
 SPREAD = np.uint64(0xD6E8FEB86659FD93)
 #: Stands between documents of a block; no item holds it.
 GAP = "\ue000"
-KIND = "doc_id long, item_id long, first int, last int, distance int, item_chars int"
+KIND = "doc_id long, item_id long, first int, last int, distance int, item_chars int, item_first int, item_last int"
 
 
 def normal(text: str) -> str:
@@ -56,20 +62,37 @@ def grams(code: np.ndarray, q: int = Q) -> np.ndarray:
         return h * SPREAD
 
 
+def regions(n: int) -> list[tuple[int, int]]:
+    """The stretches of an item of n characters that are looked for: the whole
+    item first, then its regions, the last of which ends with the item."""
+    if n <= REGION:
+        return [(0, n)]
+    starts = sorted({*range(0, n - REGION, STRIDE), n - REGION})
+    return [(0, n), *[(a, a + REGION) for a in starts]]
+
+
 class GramIndex:
-    """The q-grams of a part of the benchmark."""
+    """The q-grams of a part of the benchmark: of items and of their regions.
+    ``texts`` has the items, ``codes`` what is looked for, ``own`` and ``begin``
+    the item of each and its place there."""
 
     def __init__(self, items: list[tuple[int, str]], rate: float = RATE, q: int = Q):
-        self.ids, self.codes, gram, item, at = [], [], [], [], []
+        self.rate = rate
+        self.ids, self.texts, self.codes, self.own, self.begin, gram, item, at = [], [], [], [], [], [], [], []
         for i, text in items:
             c = codes(normal(text or ""))
             if len(c) < q:
                 continue
-            gram.append(grams(c, q))
-            item.append(np.full(len(gram[-1]), len(self.ids)))
-            at.append(np.arange(len(gram[-1])))
+            h = grams(c, q)
+            for a, b in regions(len(c)):
+                gram.append(h[a : b - q + 1])
+                item.append(np.full(len(gram[-1]), len(self.codes)))
+                at.append(np.arange(len(gram[-1])))
+                self.codes.append(c[a:b])
+                self.own.append(len(self.ids))
+                self.begin.append(a)
             self.ids.append(i)
-            self.codes.append(c)
+            self.texts.append(c)
         size = np.array([len(c) for c in self.codes], np.int64)
         self.edits = np.minimum((rate * size).astype(np.int64), (size - q) // q)
         self.bound = size - q + 1 - q * self.edits
@@ -147,14 +170,39 @@ def banded(item: np.ndarray, text: np.ndarray, low: int, high: int, most: int) -
     return int(row[best] >> 32), int(row[best] & (unit - 1)), int(d[best] + len(item))
 
 
+def passages(found: list[tuple], item: np.ndarray, text: np.ndarray, rate: float) -> list[tuple]:
+    """Regions (item start, item end, text start, text end, edits) of one item
+    in one text, joined to passages while they overlap or touch in both on
+    about one diagonal and the whole keeps to the rate."""
+    out: list[tuple] = []
+    for a, b, p, q, edits in sorted(found, key=lambda x: (x[2], x[0])):
+        for k, (a0, b0, p0, q0, e0) in enumerate(out):
+            drift = e0 + edits + 1
+            if abs((p - a) - (p0 - a0)) > drift or a > b0 + STRIDE or p > q0 + STRIDE or a < a0:
+                continue
+            if b <= b0:  # inside of the passage
+                break
+            lo, most = max(0, p0 - drift), int(rate * (b - a0))
+            got = banded(item[a0:b], text[lo : q + drift], p0 - lo - drift, p0 - lo + drift, most)
+            if got[0] <= most:
+                out[k] = (a0, b, lo + got[1], lo + got[2], got[0])
+                break
+        else:
+            out.append((a, b, p, q, edits))
+    return out
+
+
 def matches(index: GramIndex, ids: list, texts: list[str]) -> list[tuple]:
     plain = [normal(t) for t in texts]
     size = np.array([len(t) + 1 for t in plain])
     end = np.cumsum(size)
     code = codes(GAP.join([*plain, ""]))
-    out = {}
-    for item, band, p in zip(*(x.tolist() for x in index.bands(code))):
-        k, step, need = int(index.edits[item]), int(index.step[item]), index.codes[item]
+    out, whole, parts = {}, {}, {}
+    # The bands come by what they look for: an item comes before its regions.
+    for piece, band, p in sorted(zip(*(x.tolist() for x in index.bands(code)))):
+        k, step, need = int(index.edits[piece]), int(index.step[piece]), index.codes[piece]
+        item, begin = index.own[piece], index.begin[piece]
+        full = len(index.texts[item]) == len(need)
         # A band at the end of a document may belong to the one behind it.
         first = int(np.searchsorted(end, p, "right"))
         for d in range(first, min(first + 2, len(ids))):
@@ -163,17 +211,30 @@ def matches(index: GramIndex, ids: list, texts: list[str]) -> list[tuple]:
             low, high = max(band, start) - k - lo, band + 2 * step + k - lo
             if hi <= lo or high < low:
                 continue
+            if not full and any(a <= lo + k + step - start and hi - k - step - start <= b for a, b in whole.get((d, item), ())):
+                continue  # in a copy of the whole item
             edits, a, b = banded(need, code[lo:hi], low, high, k)
-            if edits <= k:
-                found = (ids[d], index.ids[item], lo + a - start, lo + b - start, edits, len(need))
-                where = (d, item, found[2] // max(1, len(need) // 2))
-                if where not in out or edits < out[where][4]:
-                    out[where] = found
-    return list(out.values())
+            if edits > k:
+                continue
+            a, b = lo + a - start, lo + b - start
+            if not full:
+                parts.setdefault((d, item), []).append((begin, begin + len(need), a, b, edits))
+                continue
+            where = (d, item, a // max(1, len(need) // 2))
+            if where not in out or edits < out[where][4]:
+                out[where] = (ids[d], index.ids[item], a, b, edits, len(need), 0, len(need))
+            whole.setdefault((d, item), []).append((a, b))
+    rows = list(out.values())
+    for (d, item), found in parts.items():
+        found = [x for x in found if not any(a < x[3] and x[2] < b for a, b in whole.get((d, item), ()))]
+        start, stop = int(end[d] - size[d]), int(end[d]) - 1
+        for a, b, p, q, edits in passages(found, index.texts[item], code[start:stop], index.rate):
+            rows.append((ids[d], index.ids[item], p, q, edits, len(index.texts[item]), a, b))
+    return rows
 
 
 def _match_batches(batches: Iterator[pa.RecordBatch], index: GramIndex) -> Iterator[pa.RecordBatch]:
-    types = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32())
+    types = (pa.int64(), pa.int64(), *[pa.int32()] * 6)
     names = [x.split()[0] for x in KIND.split(", ")]
     for b in batches:
         ids, texts = b["doc_id"].to_pylist(), b["text"].to_pylist()
@@ -190,12 +251,14 @@ def _match_batches(batches: Iterator[pa.RecordBatch], index: GramIndex) -> Itera
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, rate: float = RATE, part_chars: int = PART_CHARS) -> DataFrame:
-    """(doc_id, item_id, first, last, distance, item_chars): the stretches, in
-    characters of the text as it is compared."""
+    """(doc_id, item_id, first, last, distance, item_chars, item_first,
+    item_last): the stretches, and what part of the item each is a copy of, in
+    characters of the texts as they are compared."""
     spark = docs.sparkSession
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.coalesce("text", F.lit("")).alias("text"))
     total = items.agg(F.sum(F.length("text").cast("long"))).first()[0] or 0
-    parts = max(1, -(-total // part_chars))
+    # Each character is indexed with its item and with the regions around it.
+    parts = max(1, -(-total * (1 + REGION // STRIDE) // part_chars))
     d, out = docs_of(docs), None
     for k in range(parts):
         some = items if parts == 1 else items.where(F.pmod(F.xxhash64("text"), F.lit(parts)) == k)

@@ -154,3 +154,33 @@ def test_lone_secrets_are_reported(spark):
     docs = spark.createDataFrame([(k, f"see {t} here") for k, t in enumerate(tokens)], "doc_id long, text string")
     got = {r.doc_id: [(x["start"], x["end"]) for x in r["random"]] for r in secret_scan.secret_spans(docs).collect()}
     assert got == {k: [(4, 4 + len(t))] for k, t in enumerate(tokens)}
+
+
+def test_decontaminate_partial_passages(spark):
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(2, 9)))
+    prose = lambda n: " ".join(word() for _ in range(n))
+    item = prose(60)
+    half, n = len(item) // 2, len(item)
+    cuts = {1: (0, half), 2: (half, n), 3: (50, 50 + 79), 4: (n - 79, n), 5: (0, n), 6: (0, 40)}
+    around = {i: (prose(30) + " ", " " + prose(30)) for i in cuts}
+    around[4] = (around[4][0], "")  # the document ends within the item
+    texts = {i: around[i][0] + item[a:b] + around[i][1] for i, (a, b) in cuts.items()}
+    edited = item[:40] + "#" + item[41:90] + item[92:half]
+    texts |= {7: "x " + edited + " y", 8: prose(60)}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    got = {}
+    for r in decontaminate.contaminated(docs, bench).collect():
+        got.setdefault(r.doc_id, []).append(r)
+    assert set(got) == {1, 2, 3, 4, 5, 7}
+    assert all(len(x) == 1 for x in got.values())
+    for i in (1, 2, 3, 4, 5):
+        r, (a, b) = got[i][0], cuts[i]
+        at = len(around[i][0])
+        # Regions begin every 16 characters, and one at an end may take in 6 edits beyond it.
+        assert a - 6 <= r.item_first <= a + 15 and b - 15 <= r.item_last <= b + 6 and r.item_chars == n
+        assert abs(r.first - at - r.item_first + a) <= r.distance <= 12
+        assert abs(r.last - at - r.item_last + a) <= r.distance
+    assert (got[5][0].item_first, got[5][0].item_last) == (0, n)
+    assert 3 <= got[7][0].distance <= 9
