@@ -28,6 +28,8 @@ from .common import docs_of, materialize, row_blocks, table, text_column
 
 LAST = (1 << 63) - 1
 MIN_BYTES, MASK_BITS, MAX_BYTES, MIN_RUN = 24, 6, 1024, 64
+#: Finer chunks, for passages of some 50 words: what the query uses.
+FINE_BYTES, FINE_BITS = 12, 5
 #: The gear table: one 32-bit number for each byte.
 GEAR = np.array([int.from_bytes(hashlib.blake2b(bytes([b]), digest_size=4).digest(), "little") for b in range(256)], np.uint32)
 
@@ -126,9 +128,9 @@ def repeated_spans(chunks: DataFrame, min_run: int = MIN_RUN) -> DataFrame:
     return d.select("doc_id", "spans", F.array_sort(F.array_distinct(F.transform(held, lambda x: x["by"]))).alias("owners"))
 
 
-def substring_dedup(docs: DataFrame, min_run: int = MIN_RUN) -> DataFrame:
+def substring_dedup(docs: DataFrame, min_run: int = MIN_RUN, min_bytes: int = MIN_BYTES, mask_bits: int = MASK_BITS) -> DataFrame:
     """(doc_id, spans, owners) for documents that lose bytes."""
-    return repeated_spans(materialize(chunks_of(docs), "chunks"), min_run)
+    return repeated_spans(materialize(chunks_of(docs, min_bytes, mask_bits), "chunks"), min_run)
 
 
 def _cut_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -143,10 +145,10 @@ def _cut_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([b["doc_id"], pa.array(out, pa.binary())], names=["doc_id", "kept"])
 
 
-def cleaned_bytes(docs: DataFrame, min_run: int = MIN_RUN) -> DataFrame:
+def cleaned_bytes(docs: DataFrame, min_run: int = MIN_RUN, min_bytes: int = MIN_BYTES, mask_bits: int = MASK_BITS) -> DataFrame:
     """(doc_id, kept): the bytes that stay; a cut can fall inside a character."""
     d = docs_of(docs).withColumn("key", F.coalesce("doc_id", F.lit(LAST)))
-    gone = substring_dedup(docs, min_run).select(F.col("doc_id").alias("key"), "spans")
+    gone = substring_dedup(docs, min_run, min_bytes, mask_bits).select(F.col("doc_id").alias("key"), "spans")
     return d.join(gone, "key", "left").select("doc_id", "text", "spans").mapInArrow(_cut_batches, "doc_id long, kept binary")
 
 
@@ -154,7 +156,7 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: bytes, bytes removed, the ranges, and who keeps them."""
     docs = table(spark, sf_dir, "documents")
     d = docs_of(docs).select("doc_id", F.coalesce("doc_id", F.lit(LAST)).alias("key"), F.octet_length("text").cast("long").alias("n_bytes"))
-    gone = substring_dedup(docs).withColumnRenamed("doc_id", "key")
+    gone = substring_dedup(docs, MIN_RUN, FINE_BYTES, FINE_BITS).withColumnRenamed("doc_id", "key")
     r = d.join(gone, "key", "left")
     text = F.array_join(F.transform("spans", lambda x: F.concat_ws(":", x["first"].cast("string"), x["last"].cast("string"))), ",")
     return r.select(

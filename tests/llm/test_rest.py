@@ -191,3 +191,16 @@ def test_toxicity(spark, corpus):
     assert all(0 <= r.score <= 1 for r in got)
     assert all(r.score < 0.5 for r in got if r.doc_id in (1, 2))
     assert toxicity.toxicity_scores(more.where("false"), model).count() == 0
+
+
+def test_planted_passages(spark, tmp_path):
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(2, 9)))
+    own = lambda n: " ".join(word() for _ in range(n))
+    shared = [own(50) for _ in range(300)]
+    rows = [(k + 1000 * c, f"{own(40 + c)} {p} {own(40)}") for k, p in enumerate(shared) for c in (0, 1)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r.n_removed for r in chunk_dedup.op3_substring_dedup(spark, str(tmp_path)).collect()}
+    assert not any(got[k] for k in range(300))
+    assert sum(got[1000 + k] == 0 for k in range(300)) <= 9
+    assert sum(got[1000 + k] for k in range(300)) >= 0.65 * sum(len(p) for p in shared)
