@@ -4,19 +4,29 @@ Patterns give the base spans.  For tokens outside of them, a battery of
 randomness tests (chi-squared uniformity over the alphabet of the inferred
 encoding, Wald-Wolfowitz runs about the alphabet's middle, lag-1 serial
 correlation) gives one p-value under "the characters are drawn evenly"; its
-cut is set for each encoding and length band so that the estimated share of
-ordinary tokens among the reported ones stays under ``fdr`` (Storey's
-estimate of the random share).  The estimate counts distinct tokens; bands
-with few of them borrow from the nearest lengths of their encoding, and an
-encoding with few in all is cut at a fixed level.  Everything is a SQL
-expression.
-
-Cases: a null or empty text has no spans; a null doc_id is kept; repeated
-rows are reported once each; an empty table gives an empty result.
+cut is set for each encoding, mix of character classes and length band so that
+the estimated share of ordinary tokens among the reported ones stays under
+``fdr``.  The estimate counts distinct tokens; bands with few of them borrow
+from the nearest lengths of their encoding.  An encoding with few in all is cut
+at a fixed level where its tokens mix letters and digits; where they do not,
+they are words for all that can be told, and none is reported.  Everything is a
+SQL expression.
+
+Candidates are tokens of ``CANDIDATE``: 20 characters and more of one encoding.
+Shorter ones say too little: the battery cannot tell them from words.
+
+Cases: a null or empty text has no spans; each row is judged on its own, so
+shared ids do no harm; a null doc_id is kept; repeated rows are reported once
+each; a very long text costs in proportion to its length, its spans are put in
+place by blocks, and where many candidates meet many base spans they are
+compared by an equality join instead of one by one; other columns are not read,
+so their names cannot clash; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -41,40 +51,57 @@ ENCODINGS = (
 BINS = 100
 #: Distinct tokens that the estimate needs; under that p >= 0.01 is reported.
 FEW, LEVEL = 200, 1
+#: Matches that are put in place together.
+BLOCK = 256
+#: Pairs of candidates and base spans of a text that are compared within its row.
+IN_ROW = 100_000
+SPAN = "struct<start:int,ord:int,kind:string,end:int,token:string>"
 
 
 def match_spans(text: Column, pattern: str, kind: str, order: int, first: Column | None = None) -> Column:
     """Code point spans of all leftmost non-overlapping matches: what
     ``split`` leaves between matches and the matches themselves alternate.
+    Places are summed up within blocks, then over the blocks, so the time is
+    in proportion to the matches but for their number squared over BLOCK squared.
     ``first`` is a cheaper test that holds for every text with a match."""
     gaps, hits = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     both = F.arrays_zip(gaps.alias("g"), hits.alias("m"))
-    walked = F.aggregate(
-        both,
-        F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,ord:int,kind:string,end:int,token:string>>").alias("out")),
-        lambda acc, x: F.when(x["m"].isNull(), acc).otherwise(
-            F.struct(
-                (acc["at"] + F.length(x["g"]) + F.length(x["m"])).alias("at"),
-                F.concat(
-                    acc["out"],
-                    F.array(
-                        F.struct(
-                            (acc["at"] + F.length(x["g"])).alias("start"),
-                            F.lit(order).alias("ord"),
-                            F.lit(kind).alias("kind"),
-                            (acc["at"] + F.length(x["g"]) + F.length(x["m"])).alias("end"),
-                            x["m"].alias("token"),
-                        )
-                    ),
-                ).alias("out"),
-            )
-        ),
-    )["out"]
-    none = F.array().cast("array<struct<start:int,ord:int,kind:string,end:int,token:string>>")
+
+    def within(part: Column) -> Column:
+        return F.aggregate(
+            part,
+            F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{SPAN}>").alias("out")),
+            lambda acc, x: F.when(x["m"].isNull(), acc).otherwise(
+                F.struct(
+                    (acc["at"] + F.length(x["g"]) + F.length(x["m"])).alias("at"),
+                    F.concat(
+                        acc["out"],
+                        F.array(
+                            F.struct(
+                                (acc["at"] + F.length(x["g"])).alias("start"),
+                                F.lit(order).alias("ord"),
+                                F.lit(kind).alias("kind"),
+                                (acc["at"] + F.length(x["g"]) + F.length(x["m"])).alias("end"),
+                                x["m"].alias("token"),
+                            )
+                        ),
+                    ).alias("out"),
+                )
+            ),
+        )
+
+    def walked(parts: Column) -> Column:
+        begins = F.aggregate(parts, F.array(F.lit(0)), lambda acc, x: F.concat(acc, F.array(F.element_at(acc, -1) + x["at"])))
+        moved = lambda x, at: F.transform(x["out"], lambda y: F.struct((y["start"] + at).alias("start"), y["ord"].alias("ord"), y["kind"].alias("kind"), (y["end"] + at).alias("end"), y["token"].alias("token")))
+        return F.flatten(F.zip_with(parts, F.slice(begins, F.lit(1), F.size(parts)), moved))
+
+    once = lambda c, f: F.transform(F.array(c), f)[0]  # noqa: E731  c is worked out once, however often f names it
+    blocks = once(both, lambda z: F.transform(F.sequence(F.lit(0), F.size(z) - 1, F.lit(BLOCK)), lambda k: within(F.slice(z, k + 1, F.lit(BLOCK)))))
+    none = F.array().cast(f"array<{SPAN}>")
     test = text.rlike(pattern)
     if first is not None:
         test = first & test
-    return F.when(test, walked).otherwise(none)
+    return F.when(test, once(blocks, walked)).otherwise(none)
 
 
 def normal_tail(z: Column) -> Column:
@@ -128,7 +155,30 @@ def p_value(b: Column) -> Column:
     return F.exp(-x / 2) * (1 + x / 2 + x * x / 8)
 
 
-def secret_spans(docs: DataFrame, fdr: float = 0.05) -> DataFrame:
+def bare(spans: Column) -> Column:
+    return F.transform(spans, lambda x: F.struct(x["start"].alias("start"), x["ord"].alias("ord"), x["kind"].alias("kind"), x["end"].alias("end")))
+
+
+def outside(rows: DataFrame, in_row: int = IN_ROW) -> DataFrame:
+    """``rows`` (uid, doc_id, base, r), a written table, with r less the spans
+    that meet a base span.  Rows with up to ``in_row`` pairs have been seen to;
+    the others go by way of an equality join on blocks of 4096 characters."""
+    pairs = F.size("base").cast("long") * F.size("r")
+    light, heavy = rows.where(pairs <= in_row), rows.where(pairs > in_row)
+    if not heavy.head(1):
+        return light
+    cells = lambda x: F.sequence(F.shiftright(x["start"], 12), F.shiftright(x["end"] - 1, 12))
+    base = heavy.select("uid", F.explode("base").alias("y")).select("uid", "y", F.explode(cells(F.col("y"))).alias("cell"))
+    cand = heavy.select("uid", F.posexplode("r").alias("i", "x")).select("uid", "i", "x", F.explode(cells(F.col("x"))).alias("cell"))
+    met = cand.join(base, ["uid", "cell"]).where("y.start < x.end AND x.start < y.end").select("uid", "i").distinct()
+    kept = heavy.select("uid", F.posexplode("r").alias("i", "x")).join(met, ["uid", "i"], "left_anti")
+    kept = kept.groupBy("uid").agg(F.array_sort(F.collect_list("x")).alias("k"))
+    kind = heavy.schema["r"].dataType
+    heavy = heavy.join(kept, "uid", "left").select("uid", "doc_id", "base", F.coalesce("k", F.array().cast(kind)).alias("r"))
+    return light.unionByName(heavy)
+
+
+def secret_spans(docs: DataFrame, fdr: float = 0.05, in_row: int = IN_ROW) -> DataFrame:
     """(doc_id, base, random): arrays of struct(start, ord, kind, end).
 
     Two passes: the spans with p-values go to a scratch table without the
@@ -139,39 +189,40 @@ def secret_spans(docs: DataFrame, fdr: float = 0.05) -> DataFrame:
     access = match_spans(F.col("text"), ACCESS, "access", 1, F.contains(F.col("text"), F.lit("AKIA")))
     hexes = match_spans(F.col("text"), HEX, "hex", 2)
     cand = match_spans(F.col("text"), CANDIDATE, "random", 3)
-    d = d.select("doc_id", assign.alias("a"), access.alias("c"), hexes.alias("h"), cand.alias("r"))
-    d = d.select("doc_id", F.concat("a", "c", "h").alias("base"), "r")
+    d = d.select(F.monotonically_increasing_id().alias("uid"), "doc_id", bare(F.concat(assign, access, hexes)).alias("base"), cand.alias("r"))
+    pairs = F.size("base").cast("long") * F.size("r")
     free = F.filter("r", lambda x: ~F.exists("base", lambda y: (y["start"] < x["end"]) & (x["start"] < y["end"])))
-    tested = F.transform(free, lambda x: F.struct(x["start"].alias("start"), x["ord"].alias("ord"), x["kind"].alias("kind"), x["end"].alias("end"), F.unhex(F.md5(x["token"])).alias("digest"), battery(x["token"]).alias("b")))
-    kept = F.filter(tested, lambda x: x["b"]["enc"].isNotNull() & x["b"]["mixed"])
+    d = d.withColumn("r", F.when(pairs <= in_row, free).otherwise(F.col("r")))
+    tested = F.transform("r", lambda x: F.struct(x["start"].alias("start"), x["ord"].alias("ord"), x["kind"].alias("kind"), x["end"].alias("end"), F.unhex(F.md5(x["token"])).alias("digest"), battery(x["token"]).alias("b")))
+    known = F.filter(tested, lambda x: x["b"]["enc"].isNotNull())
     final = F.transform(
-        kept,
+        known,
         lambda x: F.struct(
             x["start"].alias("start"), x["ord"].alias("ord"), x["kind"].alias("kind"), x["end"].alias("end"),
-            (x["b"]["enc"] * 64 + F.floor(F.log2(x["b"]["n"]) * 2).cast("int")).alias("stratum"),
+            ((x["b"]["enc"] * 2 + F.when(x["b"]["mixed"], 1).otherwise(0)) * 64 + F.floor(F.log2(x["b"]["n"]) * 2).cast("int")).alias("stratum"),
             F.least(F.floor(p_value(x["b"]) * BINS).cast("int"), F.lit(BINS - 1)).alias("bin"),
             x["digest"].alias("digest"),
         ),
     )
-    bare = F.transform("base", lambda x: F.struct(x["start"].alias("start"), x["ord"].alias("ord"), x["kind"].alias("kind"), x["end"].alias("end")))
-    spans = materialize(d.select("doc_id", bare.alias("base"), final.alias("cand")), "secret-spans")
+    rows = materialize(d.select("uid", "doc_id", "base", final.alias("r")), "secret-spans")
+    spans = outside(rows, in_row)
     cuts = false_discovery_cuts(spans, fdr)
     cut = F.create_map(*[F.lit(v) for kv in cuts.items() for v in kv]) if cuts else F.create_map().cast("map<int,int>")
-    found = F.filter("cand", lambda x: x["bin"] >= F.coalesce(F.element_at(cut, x["stratum"]), F.lit(BINS)))
-    found = F.transform(found, lambda x: F.struct(x["start"].alias("start"), x["ord"].alias("ord"), x["kind"].alias("kind"), x["end"].alias("end")))
-    return spans.select("doc_id", "base", found.alias("random"))
+    found = F.filter("r", lambda x: x["bin"] >= F.coalesce(F.element_at(cut, x["stratum"]), F.lit(BINS)))
+    return spans.select("doc_id", "base", bare(found).alias("random"))
 
 
 def false_discovery_cuts(spans: DataFrame, fdr: float) -> dict[int, int]:
-    """The lowest p-value bin to report, by stratum (encoding and half octave
-    of length).  Copies of a token count once.  The histogram has at most
-    strata x BINS rows, whatever the size of the corpus."""
-    tokens = spans.select(F.explode("cand").alias("x")).select("x.stratum", "x.bin", "x.digest").distinct()
+    """The lowest p-value bin to report, by stratum (encoding, class mix and
+    half octave of length).  Copies of a token count once.  The histogram has
+    at most strata x BINS rows, whatever the size of the corpus."""
+    tokens = spans.select(F.explode("r").alias("x")).select("x.stratum", "x.bin", "x.digest").distinct()
     rows = tokens.groupBy("stratum", "bin").count().collect()
     strata: dict[int, list[int]] = {}
     for stratum, b, n in rows:
         strata.setdefault(stratum, [0] * BINS)[b] += n
-    return {s: storey_cut(pooled(strata, s), fdr) for s in strata}
+    # Encodings are numbered so that odd strata (over 64) mix classes.
+    return {s: evident_cut(pooled(strata, s), fdr, s // 64 % 2 == 1) for s in strata}
 
 
 def pooled(strata: dict[int, list[int]], stratum: int) -> list[int]:
@@ -187,15 +238,30 @@ def pooled(strata: dict[int, list[int]], stratum: int) -> list[int]:
     return hist
 
 
-def storey_cut(hist: list[int], fdr: float) -> int:
+def evident_cut(hist: list[int], fdr: float, mixed: bool = True) -> int:
+    """The lowest bin such that of the tokens from there on an estimated
+    share of at most ``fdr`` is ordinary; BINS (nothing is reported) if none.
+
+    Random tokens fill all bins alike.  Ordinary ones thin out towards high p,
+    but not to nothing: what is left of them in the last quarters is carried
+    on from how the counts fall from quarter to quarter (a + k, a r + k,
+    a r^2 + k for the last three), as far as that is more than chance."""
     if sum(hist) < FEW:
-        return LEVEL
-    even = 2 * sum(hist[BINS // 2 :]) / BINS  # random tokens a bin
-    above, best = 0, BINS // 2
-    for b in range(BINS - 1, -1, -1):
-        above += hist[b]
-        if b <= BINS // 2 and above and 1 - even * (BINS - b) / above <= fdr:
-            best = b
+        return LEVEL if mixed else BINS
+    quarter = BINS // 4
+    a, b, c = (sum(hist[i * quarter : (i + 1) * quarter]) for i in (1, 2, 3))
+    falls = a - b > 2 * math.sqrt(a + b) or b - c > 2 * math.sqrt(b + c)
+    if not falls:
+        level = (a + b + c) / 3
+    else:
+        bend = a + c - 2 * b
+        level = min(c, max(0.0, (a * c - b * b) / bend)) if bend > 0 else c
+    even = level / quarter  # random tokens a bin
+    above, best = 0, BINS
+    for i in range(BINS - 1, -1, -1):
+        above += hist[i]
+        if above and 1 - even * (BINS - i) / above <= fdr:
+            best = i
     return best
 
 
