@@ -7,11 +7,15 @@ and all later ones go.  Chunks of under ``min_bytes`` are joined to the next
 cut; a stretch without a cut ends at ``max_bytes``.
 
 A lone repeated chunk may be a stock phrase: a chunk goes only in a run of
-repeated chunks of ``min_run`` bytes together.
-
-Cases: a null or empty text has no chunk; rows that share a doc_id are judged
-as one document; a null doc_id comes last; an empty table gives an empty
-result.
+repeated chunks of ``min_run`` bytes together (0: every repeated chunk goes).
+
+Cases: a null or empty text has no chunk; each row is judged on its own, rows
+that share a doc_id in the order of their texts' hashes, null doc_ids last in
+the same way; of rows with equal id and text all but one lose every run; of
+equal chunks at equal places of rows whose id and hash agree though their texts
+differ both stay; a very long text is chunked in blocks and costs in proportion
+to its length; other columns of the input are not read, so their names cannot
+clash; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -24,9 +28,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import docs_of, materialize, row_blocks, table, text_column
+from .common import LAST, docs_of, join_counted, materialize, place_of, repeated_rows, row_blocks, row_order, table, text_column
 
-LAST = (1 << 63) - 1
 MIN_BYTES, MASK_BITS, MAX_BYTES, MIN_RUN = 24, 6, 1024, 64
 #: Finer chunks, for passages of some 50 words: what the query uses.
 FINE_BYTES, FINE_BITS = 12, 5
@@ -66,22 +69,28 @@ def chunk_ends(h: np.ndarray, lo: int, hi: int, cuts: np.ndarray, min_bytes: int
     return ends
 
 
+KINDS = pa.schema([("uid", pa.int64()), ("ord", pa.int64()), ("th", pa.int64()), ("first", pa.int32()), ("last", pa.int32()), ("digest", pa.binary())])
+
+
 def chunk_batches(batches: Iterator[pa.RecordBatch], min_bytes: int, mask_bits: int, max_bytes: int) -> Iterator[pa.RecordBatch]:
-    """(doc_id, text) to (doc_id, first, last, digest) of each chunk."""
+    """(uid, ord, th, text) to (uid, ord, th, first, last, digest): one row for
+    each chunk, and one with first -1 for the text itself."""
     mask = np.uint32(((1 << mask_bits) - 1) << (32 - mask_bits))
     for b in batches:
         data, offsets = text_column(b, "text")
-        ids = b.column(b.schema.get_field_index("doc_id")).to_numpy(zero_copy_only=False)
+        keys = [b[c].to_numpy(zero_copy_only=False) for c in ("uid", "ord", "th")]
         for i, j in row_blocks(offsets, 1 << 20):
             base = offsets[i]
             part = data[base : offsets[j]]
-            if not len(part):
-                continue
             cuts = np.flatnonzero((gear_hash(part) & mask) == 0) + 1
             edges = np.searchsorted(cuts, offsets[i : j + 1] - base, "right")
             raw, rows, first, last, digest = part.tobytes(), [], [], [], []
             for k in range(j - i):
                 lo, hi = int(offsets[i + k] - base), int(offsets[i + k + 1] - base)
+                rows.append(i + k)
+                first.append(-1)
+                last.append(hi - lo)
+                digest.append(hashlib.blake2b(raw[lo:hi], digest_size=16).digest())
                 at = lo
                 for end in chunk_ends(part, lo, hi, cuts[edges[k] : edges[k + 1]].tolist(), min_bytes, max_bytes):
                     rows.append(i + k)
@@ -90,47 +99,77 @@ def chunk_batches(batches: Iterator[pa.RecordBatch], min_bytes: int, mask_bits:
                     digest.append(hashlib.blake2b(raw[at:end], digest_size=16).digest())
                     at = end
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids[rows], pa.int64()), pa.array(first, pa.int32()), pa.array(last, pa.int32()), pa.array(digest, pa.binary())],
-                names=["doc_id", "first", "last", "digest"],
+                [*[pa.array(x[rows], pa.int64()) for x in keys], pa.array(first, pa.int32()), pa.array(last, pa.int32()), pa.array(digest, pa.binary())],
+                schema=KINDS,
             )
 
 
-def chunks_of(docs: DataFrame, min_bytes: int = MIN_BYTES, mask_bits: int = MASK_BITS, max_bytes: int = MAX_BYTES) -> DataFrame:
-    d = docs_of(docs).select(F.coalesce("doc_id", F.lit(LAST)).alias("doc_id"), "text")
-    return d.mapInArrow(lambda it: chunk_batches(it, min_bytes, mask_bits, max_bytes), "doc_id long, first int, last int, digest binary")
+def keyed(docs: DataFrame) -> DataFrame:
+    d = docs_of(docs)
+    return d.select(F.monotonically_increasing_id().alias("uid"), *row_order(), "doc_id", "text")
+
+
+def chunks_of(rows: DataFrame, min_bytes: int = MIN_BYTES, mask_bits: int = MASK_BITS, max_bytes: int = MAX_BYTES) -> DataFrame:
+    kind = "uid long, ord long, th long, first int, last int, digest binary"
+    return rows.select("uid", "ord", "th", "text").mapInArrow(lambda it: chunk_batches(it, min_bytes, mask_bits, max_bytes), kind)
+
+
+def _run_batches(batches: Iterator[pa.RecordBatch], min_run: int) -> Iterator[pa.RecordBatch]:
+    """(uid, c: sorted chunks that go) to (uid, spans, owners): chunks next to
+    each other make a run, and runs of min_run bytes are spans."""
+    for b in batches:
+        c = b["c"]
+        flat = c.flatten()
+        first, last, by = (flat.field(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in range(3))
+        size = c.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+        row = np.repeat(np.arange(len(size)), size)
+        new = np.ones(len(first), bool)
+        new[1:] = (row[1:] != row[:-1]) | (first[1:] != last[:-1])
+        begin = np.flatnonzero(new)
+        end = np.concatenate([begin[1:], [len(first)]]) - 1
+        long = last[end] - first[begin] >= min_run if len(begin) else np.zeros(0, bool)
+        held = np.repeat(long, np.diff(np.concatenate([begin, [len(first)]]))) if len(begin) else long
+        lo, hi, own = first[begin[long]], last[end[long]], row[begin[long]]
+        # The owners of each row: sorted, once each.
+        who = np.unique(np.stack([row[held], by[held]], 1), axis=0) if held.any() else np.zeros((0, 2), np.int64)
+        some = np.unique(own)
+        spans = pa.ListArray.from_arrays(
+            pa.array(np.searchsorted(own, np.append(some, len(size))), pa.int32()),
+            pa.StructArray.from_arrays([pa.array(lo, pa.int32()), pa.array(hi, pa.int32())], names=["first", "last"]),
+        )
+        owners = pa.ListArray.from_arrays(pa.array(np.searchsorted(who[:, 0], np.append(some, len(size))), pa.int32()), pa.array(who[:, 1], pa.int64(), mask=who[:, 1] == LAST))
+        yield pa.RecordBatch.from_arrays([b["uid"].take(pa.array(some)), spans, owners], names=["uid", "spans", "owners"])
 
 
 def repeated_spans(chunks: DataFrame, min_run: int = MIN_RUN) -> DataFrame:
-    """(doc_id, spans, owners): the byte ranges to remove, as long as
-    possible, and the documents that keep what they hold.
-
-    Counts and owners are partial sums; the join that carries them back is
-    on the digest, and Spark splits the digest of a hot chunk."""
-    place = F.col("doc_id").cast("decimal(20,0)") * F.lit(1 << 31).cast("decimal(11,0)") + F.col("first")
-    chunks = chunks.withColumn("place", place.cast("decimal(38,0)"))
-    owner = chunks.groupBy("digest").agg(F.count("*").alias("n"), F.min("place").alias("owner")).where("n > 1").select("digest", "owner")
-    hit = chunks.join(owner, "digest").where("place <> owner")
-    hit = hit.select("doc_id", "first", "last", F.floor(F.col("owner") / (1 << 31)).cast("long").alias("by"))
+    """(uid, spans, owners): the byte ranges to remove, as long as possible,
+    and the documents that keep what they hold (null for one without an id).
+
+    ``chunks`` is a written table of ``chunks_of``.  Counts and owners are
+    partial sums; the join that carries them back leaves hot digests' rows
+    where they are."""
+    copies = repeated_rows(chunks.where("first < 0"))
+    own = chunks.where("first >= 0")
+    if copies is not None:
+        again = own.join(copies, "uid", "left_semi").select("uid", "first", "last", F.col("ord").alias("by"))
+        own = own.join(copies, "uid", "left_anti")
+    own = own.withColumn("place", place_of("first"))
+    owner = own.groupBy("digest").agg(F.count("*").alias("n"), F.min("place").alias("owner"), F.min_by("ord", "place").alias("by")).where("n > 1")
+    owner = materialize(owner, "chunk-owners")
+    hit = join_counted(own.select("uid", "first", "last", "digest", "place"), owner, ["digest"]).where("place <> owner").select("uid", "first", "last", "by")
+    if copies is not None:
+        hit = hit.unionByName(again)
     # A document's own chunks only: as many as the document is long.
-    d = hit.groupBy("doc_id").agg(F.array_sort(F.collect_set(F.struct("first", "last", "by"))).alias("c"))
-    kind = "array<struct<first:int,last:int>>"
-    merged = F.aggregate(
-        "c",
-        F.array().cast(kind),
-        lambda acc, x: F.when(
-            (F.size(acc) > 0) & (F.element_at(acc, -1)["last"] >= x["first"]),
-            F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(F.struct(F.element_at(acc, -1)["first"].alias("first"), F.greatest(F.element_at(acc, -1)["last"], x["last"]).alias("last")))),
-        ).otherwise(F.concat(acc, F.array(F.struct(x["first"].alias("first"), x["last"].alias("last"))))),
-    )
-    spans = F.filter(merged, lambda x: x["last"] - x["first"] >= min_run)
-    d = d.select("doc_id", "c", spans.alias("spans")).where(F.size("spans") > 0)
-    held = F.filter("c", lambda x: F.exists("spans", lambda y: (y["first"] <= x["first"]) & (x["last"] <= y["last"])))
-    return d.select("doc_id", "spans", F.array_sort(F.array_distinct(F.transform(held, lambda x: x["by"]))).alias("owners"))
+    c = hit.groupBy("uid").agg(F.array_sort(F.collect_list(F.struct("first", "last", "by"))).alias("c"))
+    return c.mapInArrow(lambda it: _run_batches(it, min_run), "uid long, spans array<struct<first:int,last:int>>, owners array<long>")
 
 
 def substring_dedup(docs: DataFrame, min_run: int = MIN_RUN, min_bytes: int = MIN_BYTES, mask_bits: int = MASK_BITS) -> DataFrame:
-    """(doc_id, spans, owners) for documents that lose bytes."""
-    return repeated_spans(materialize(chunks_of(docs, min_bytes, mask_bits), "chunks"), min_run)
+    """(doc_id, n_bytes, spans, owners) of every row; spans is null where
+    nothing goes."""
+    chunks = materialize(chunks_of(keyed(docs), min_bytes, mask_bits), "chunks")
+    one = chunks.where("first < 0").select("uid", F.when(F.col("ord") != LAST, F.col("ord")).alias("doc_id"), F.col("last").cast("long").alias("n_bytes"))
+    return one.join(repeated_spans(chunks, min_run), "uid", "left").drop("uid")
 
 
 def _cut_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -147,17 +186,15 @@ def _cut_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def cleaned_bytes(docs: DataFrame, min_run: int = MIN_RUN, min_bytes: int = MIN_BYTES, mask_bits: int = MASK_BITS) -> DataFrame:
     """(doc_id, kept): the bytes that stay; a cut can fall inside a character."""
-    d = docs_of(docs).withColumn("key", F.coalesce("doc_id", F.lit(LAST)))
-    gone = substring_dedup(docs, min_run, min_bytes, mask_bits).select(F.col("doc_id").alias("key"), "spans")
-    return d.join(gone, "key", "left").select("doc_id", "text", "spans").mapInArrow(_cut_batches, "doc_id long, kept binary")
+    rows = materialize(keyed(docs), "chunk-rows")
+    gone = repeated_spans(materialize(chunks_of(rows, min_bytes, mask_bits), "chunks"), min_run)
+    return rows.join(gone, "uid", "left").select("doc_id", "text", "spans").mapInArrow(_cut_batches, "doc_id long, kept binary")
 
 
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per document: bytes, bytes removed, the ranges, and who keeps them."""
-    docs = table(spark, sf_dir, "documents")
-    d = docs_of(docs).select("doc_id", F.coalesce("doc_id", F.lit(LAST)).alias("key"), F.octet_length("text").cast("long").alias("n_bytes"))
-    gone = substring_dedup(docs, MIN_RUN, FINE_BYTES, FINE_BITS).withColumnRenamed("doc_id", "key")
-    r = d.join(gone, "key", "left")
+    """Per document: bytes, bytes removed, the ranges, and who keeps them.
+    Repeated chunks go in runs of MIN_RUN bytes and more."""
+    r = substring_dedup(table(spark, sf_dir, "documents"), MIN_RUN, FINE_BYTES, FINE_BITS)
     text = F.array_join(F.transform("spans", lambda x: F.concat_ws(":", x["first"].cast("string"), x["last"].cast("string"))), ",")
     return r.select(
         "doc_id", "n_bytes",
