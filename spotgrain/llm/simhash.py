@@ -5,40 +5,61 @@ link at 3 or fewer differing bits, and components of links are the classes.
 
 Equal fingerprints become one row first.  Of five blocks of bits, two
 fingerprints that link agree on two at least, so each fingerprint goes to ten
-buckets.  A bucket of any size is searched with the index: fingerprints in
-Gray rank order, nodes of 16 neighbours above them and so on up; a node keeps
-the bits that all below it share and its parent has not; the differences from
-the query add up on the way down, and a group over 3 is pruned whole, as is one whose members
-are all linked to the query already.  Large buckets are cut into tiles whose pairs are separate groups.  A bucket passes on
-one edge for each fingerprint that is not the root of its links, never all pairs.
-
-Cases: null and empty texts have fingerprint zero and link like any other; a
-null doc_id is kept and never names a component unless alone; repeated rows
-are rows of one component; an empty table gives an empty result.
+buckets.  A bucket is searched with the index: fingerprints in Gray rank
+order, nodes of 16 neighbours above them and so on up; a node keeps the bits
+that all below it share and its parent has not; the differences from the query
+add up on the way down, and a group over 3 is pruned whole, as is one whose
+members are all linked to the query already.  A bucket of up to 16 is one leaf.
+The bits that a bucket of over DENSE fingerprints leaves open are cut into five
+blocks again, and after that once more, so a group has 2^15 members at most and
+a row of a dense bucket is copied tenfold each time.  A bucket passes on one
+edge for each fingerprint that is not the root of its links, never all pairs.
+
+``near_dedup`` judges by similarity: five-word shingles, Jaccard 0.8 and more.
+Its candidates are components of the same index over TABLES SimHashes of the
+different words of a text; within a component the first rows are kept as
+centres, and a row goes if it is as similar as that to a kept centre.
+
+Cases: null and empty texts have fingerprint zero and link like any other
+(they are alike for ``near_dedup``); a null doc_id is kept and never names a
+component unless alone; rows that share an id are told apart by a row number,
+in the order of their texts' hashes; repeated rows are rows of one component,
+of which ``near_dedup`` keeps one; very long texts are hashed in bounded parts;
+``near_dedup`` carries the caller's columns in one struct, so no name can
+clash; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+import re
+from collections import Counter
 from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators.graph import connected_components
-from .common import docs_of, ids_of, materialize, row_blocks, scratch_dir, table, text_column
+from .common import columns_of, docs_of, ids_of, join_counted, materialize, release, row_blocks, row_order, scratch_dir, table, text_column
 
 P1, P2, P3, P4, P5 = (np.uint64(x) for x in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5))
 SPACE = np.zeros(256, bool)
 SPACE[[32, *range(9, 14)]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
+ASCII_LOWER = {k: k + 32 for k in range(65, 91)}
 RADIUS = 3
-BLOCKS = ((0, 13), (13, 13), (26, 13), (39, 13), (52, 12))
 FAN = 16
-TILE = 8192
+#: A bucket of more fingerprints is cut by further bits, if it has any to spare.
+DENSE = 8192
+#: Word fingerprints of ``near_dedup``, and centres of a component in its first round.
+TABLES, CENTRES = 6, 32
+WIDTH, SIMILAR = 5, 0.8
+#: Up to so many row numbers (some MB) are broadcast; of more, an exchange joins them.
+BROADCAST_ROWS = 1_000_000
 
 
 def _rotl(x: np.ndarray, r: int) -> np.ndarray:
@@ -124,16 +145,44 @@ def fingerprints_of(data: np.ndarray, offsets: np.ndarray, width: int = 3) -> np
     last = word + np.minimum(words[row], width) - 1
     h = xxh64_slices(buf, starts[word], stops[last] - starts[word])
     some = np.flatnonzero(shingles)
+    out[some] = majority(h, begin[some], shingles[some])
+    return out
+
+
+def majority(h: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """For each group of hashes, one after the other: the bits that are set in
+    over half of them."""
     bits = np.unpackbits(h.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-    counts = np.empty((len(some), 64), np.int64)
+    counts = np.empty((len(begin), 64), np.int64)
     at = 0
-    while at < len(some):  # a bounded part at a time: sums need wider numbers
-        to = max(at + 1, int(np.searchsorted(begin[some], begin[some[at]] + 65536)))
-        lo, hi = begin[some[at]], begin[some[to]] if to < len(some) else total
-        counts[at:to] = np.add.reduceat(bits[lo:hi], begin[some[at:to]] - lo, axis=0, dtype=np.int32)
+    while at < len(begin):  # a bounded part at a time: sums need wider numbers
+        to = max(at + 1, int(np.searchsorted(begin, begin[at] + 65536)))
+        lo, hi = begin[at], begin[to] if to < len(begin) else len(h)
+        counts[at:to] = np.add.reduceat(bits[lo:hi], begin[at:to] - lo, axis=0, dtype=np.int32)
         at = to
-    on = (2 * counts > shingles[some][:, None]).astype(np.uint8)
-    out[some] = np.packbits(on, axis=1, bitorder="little").view("<u8")[:, 0]
+    on = (2 * counts > size[:, None]).astype(np.uint8)
+    return np.packbits(on, axis=1, bitorder="little").view("<u8")[:, 0]
+
+
+def word_fingerprints(data: np.ndarray, offsets: np.ndarray, tables: int = TABLES) -> np.ndarray:
+    """rows x tables: SimHashes of the different words of each row."""
+    buf, starts, stops, words = words_of(data, offsets)
+    out = np.zeros((len(words), tables), np.uint64)
+    if not len(starts):
+        return out
+    row = np.repeat(np.arange(len(words)), words)
+    h = xxh64_slices(buf, starts, stops - starts)
+    order = np.lexsort((h, row))
+    row, h = row[order], h[order]
+    new = np.concatenate([[True], (row[1:] != row[:-1]) | (h[1:] != h[:-1])])
+    row, h = row[new], h[new]
+    some, begin = np.unique(row, return_index=True)
+    size = np.diff(np.concatenate([begin, [len(row)]]))
+    for t in range(tables):
+        with np.errstate(over="ignore"):
+            x = (h ^ np.uint64((t + 1) * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)) * P2
+            x = (x ^ (x >> np.uint64(29))) * P3
+        out[some, t] = majority(x ^ (x >> np.uint64(32)), begin, size)
     return out
 
 
@@ -253,7 +302,7 @@ def small_group_edges(group: np.ndarray, fps: np.ndarray) -> tuple[np.ndarray, n
 
 
 def _bucket_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (combo, bucket, tile, fp) sorted by group, to edges (src, dst)."""
+    """Rows (g, fp) sorted by group, to edges (src, dst)."""
 
     def edges(group: np.ndarray, fps: np.ndarray) -> Iterator[pa.RecordBatch]:
         cut = np.flatnonzero(np.diff(group)) + 1
@@ -268,41 +317,53 @@ def _bucket_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 
     rest: tuple | None = None
     for b in batches:
-        got = tuple(b[k].to_numpy(zero_copy_only=False) for k in ("combo", "bucket", "tile", "fp"))
+        got = tuple(b[k].to_numpy(zero_copy_only=False) for k in ("g", "fp"))
         got = tuple(np.concatenate(x) for x in zip(rest, got)) if rest else got
-        new = np.zeros(len(got[0]), bool)
-        for x in got[:3]:
-            new[1:] |= x[1:] != x[:-1]
-        group = np.cumsum(new)
-        if not len(group):
+        g = got[0]
+        if not len(g):
             continue
+        group = np.cumsum(np.concatenate([[False], g[1:] != g[:-1]]))
         whole = int(np.searchsorted(group, group[-1]))  # the last group may go on
         if whole:
-            yield from edges(group[:whole], got[3][:whole].view(np.uint64))
+            yield from edges(group[:whole], got[1][:whole].view(np.uint64))
         rest = tuple(x[whole:] for x in got)
     if rest and len(rest[0]):
-        yield from edges(np.zeros(len(rest[0]), np.int64), rest[3].view(np.uint64))
+        yield from edges(np.zeros(len(rest[0]), np.int64), rest[1].view(np.uint64))
+
+
+def bucketed(rows: DataFrame, width: int) -> tuple[DataFrame, int]:
+    """(g, fp, open) to ten rows each: ``open``, of ``width`` bits, is cut into
+    five blocks; two of them join the group, the others stay open.  Also the
+    number of bits that stay.  That two groups share a hash costs time only."""
+    size = [width // 5 + (k < width % 5) for k in range(5)]
+    part = [F.shiftrightunsigned("open", sum(size[:k])).bitwiseAND((1 << size[k]) - 1) for k in range(5)]
+    keys = []
+    for n, (i, j) in enumerate(combinations(range(5), 2)):
+        left, at = F.lit(0).cast("long"), 0
+        for k in range(5):
+            if k not in (i, j):
+                left, at = left.bitwiseOR(F.shiftleft(part[k], at)), at + size[k]
+        keys.append(F.struct(F.xxhash64("g", F.lit(n), part[i], part[j]).alias("g"), left.alias("open")))
+    return rows.select("fp", F.explode(F.array(*keys)).alias("k")).select("k.g", "fp", "k.open"), width - sum(sorted(size)[:2])
 
 
 def fingerprint_edges(fps: DataFrame) -> DataFrame:
-    """(src, dst) over distinct fingerprints (column fp): connects all that link."""
-    part = lambda k: F.shiftrightunsigned("fp", BLOCKS[k][0]).bitwiseAND((1 << BLOCKS[k][1]) - 1)
-    keys = F.array(*[F.struct(F.lit(n).alias("combo"), F.shiftleft(part(i), 13).bitwiseOR(part(j)).alias("bucket")) for n, (i, j) in enumerate(combinations(range(5), 2))])
-    rows = fps.select("fp", F.explode(keys).alias("k")).select("k.combo", "k.bucket", "fp")
-    # Counts per bucket: partial sums, then one small row for each bucket over TILE.
-    large = rows.groupBy("combo", "bucket").count().where(F.col("count") > TILE)
-    n_large = large.count()
-    if not n_large:
-        dealt = rows.withColumn("tile", F.lit(0).cast("long"))
-    else:
-        # Over TILE rows lie in each, so the table is a thousandth of the rows at most.
-        large = large.select(F.col("combo").alias("c"), F.col("bucket").alias("b"), F.ceil(F.col("count") / (TILE // 2)).cast("long").alias("tiles"))
-        large = F.broadcast(large) if n_large <= 100_000 else large
-        j = rows.join(large, (F.col("combo") == F.col("c")) & (F.col("bucket") == F.col("b")), "left")
-        mine = F.pmod(F.xxhash64("fp"), F.col("tiles"))
-        pairs = F.transform(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1), lambda o: F.least(o, mine) * F.col("tiles") + F.greatest(o, mine) + 1)
-        dealt = j.select("combo", "bucket", "fp", F.explode(F.when(F.col("tiles").isNull(), F.array(F.lit(0).cast("long"))).otherwise(pairs)).alias("tile"))
-    dealt = dealt.repartition("combo", "bucket", "tile").sortWithinPartitions("combo", "bucket", "tile")
+    """(src, dst) over distinct fingerprints (columns g, a table's number, and
+    fp): connects all of a table that link."""
+    rows, width = bucketed(fps.select("g", "fp", F.col("fp").alias("open")), 64)
+    dealt = None
+    for _ in range(2):
+        # Counts per bucket: partial sums, then one small row for each dense one.
+        dense = materialize(rows.groupBy("g").agg(F.count("*").alias("n")).where(F.col("n") > DENSE), "simhash-dense")
+        n_dense = dense.count()
+        if not n_dense:
+            break
+        few = F.broadcast(dense.select("g")) if n_dense <= BROADCAST_ROWS else dense.select("g")
+        plain = rows.join(few, "g", "left_anti").select("g", "fp")
+        dealt = plain if dealt is None else dealt.unionByName(plain)
+        rows, width = bucketed(join_counted(rows, dense, ["g"]).select("g", "fp", "open"), width)
+    dealt = rows.select("g", "fp") if dealt is None else dealt.unionByName(rows.select("g", "fp"))
+    dealt = dealt.repartition("g").sortWithinPartitions("g")
     return dealt.mapInArrow(_bucket_batches, "src long, dst long").distinct()
 
 
@@ -311,7 +372,7 @@ def simhash_components(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     fps = materialize(fingerprints(docs), "simhash-fp")
     once = materialize(fps.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-distinct")
-    edges = materialize(fingerprint_edges(once.select("fp")), "simhash-edges")
+    edges = materialize(fingerprint_edges(once.select(F.lit(0).alias("g"), "fp")), "simhash-edges")
     comp = connected_components(edges, checkpoint_dir=scratch_dir(spark)).select(F.col("node").alias("fp"), "component")
     linked = once.join(comp, "fp", "left").select("fp", "least", F.coalesce("component", "fp").alias("component"))
     ids = linked.groupBy("component").agg(F.min("least").alias("component_id"))
@@ -319,10 +380,103 @@ def simhash_components(docs: DataFrame) -> DataFrame:
     return fps.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
-def near_dedup(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that name their component (one id of each)."""
-    keep = simhash_components(docs).where("doc_id <=> component_id").select("doc_id").distinct()
-    return docs.join(keep.withColumnRenamed("doc_id", "simhash_keep"), F.col("doc_id").eqNullSafe(F.col("simhash_keep")), "left_semi")
+def word_fps(column: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    for s in column:
+        data, offsets = text_column(pa.RecordBatch.from_arrays([pa.array(s, pa.large_string())], names=["text"]), "text")
+        out = []
+        for i, j in row_blocks(offsets, 1 << 20):
+            out += word_fingerprints(data, offsets[i : j + 1]).view(np.int64).tolist()
+        yield pd.Series(out, dtype=object)
+
+
+def candidate_components(rows: DataFrame) -> DataFrame:
+    """(uid, component) for the rows of a written table (uid, fps) that share
+    a component of links in any table with another row."""
+    spark = rows.sparkSession
+    # Rows with all fingerprints equal first: they have one representative.
+    reps = materialize(rows.groupBy("fps").agg(F.min("uid").alias("rep"), F.count("*").alias("n")), "simhash-reps")
+    tables = reps.select("rep", F.posexplode("fps").alias("g", "fp"))
+    once = materialize(tables.groupBy("g", "fp").agg(F.min("rep").alias("least"), F.count("*").alias("n")), "simhash-tables")
+    links = materialize(fingerprint_edges(once.select("g", "fp")), "simhash-links")
+    # A fingerprint's table is not carried: it names the row that has it, and a row is one node for all tables.
+    named = once.select("fp", "least")
+    far = links.join(named.withColumnsRenamed({"fp": "src", "least": "a"}), "src").join(named.withColumnsRenamed({"fp": "dst", "least": "b"}), "dst").select("a", "b")
+    same = join_counted(tables, once.where("n > 1"), ["g", "fp"]).select(F.col("rep").alias("a"), F.col("least").alias("b"))
+    edges = materialize(far.unionByName(same).where("a <> b").distinct(), "simhash-pairs")
+    comp = connected_components(edges, "a", "b", checkpoint_dir=scratch_dir(spark)).withColumnsRenamed({"node": "rep"})
+    # All rows of a linked representative, and of one that stands for several.
+    known = reps.join(comp, "rep", "left").where("n > 1 OR component IS NOT NULL").select("fps", "n", F.coalesce("component", "rep").alias("component"))
+    return join_counted(rows.select("uid", "fps"), materialize(known, "simhash-known"), ["fps"]).select("uid", "component")
+
+
+def shingle_set(text: str, width: int) -> set:
+    words = re.findall("[^\x20\x09-\x0d]+", text.translate(ASCII_LOWER))
+    return set(zip(*[words[k:] for k in range(width)])) if len(words) >= width else {tuple(words)}
+
+
+def _centre_batches(batches: Iterator[pa.RecordBatch], width: int, similar: float) -> Iterator[pa.RecordBatch]:
+    """Rows (component, salt, rank, uid, text), a group's centres (rank not 0)
+    first, to (uid, verdict): 1 stays, -1 goes, 0 not decided."""
+    group, index, sizes = None, {}, []
+    for b in batches:
+        uids, verdicts = [], []
+        for component, salt, rank, uid, text in zip(*[b[c].to_pylist() for c in ("component", "salt", "rank", "uid", "text")]):
+            if group != (component, salt):
+                group, index, sizes = (component, salt), {}, []
+            own, hits = shingle_set(text, width), Counter()
+            for x in own:
+                if x in index:
+                    hits.update(index[x])
+            near = any(n >= similar * (len(own) + sizes[k] - n) for k, n in hits.items())
+            if rank and not near:
+                for x in own:
+                    index.setdefault(x, []).append(len(sizes))
+                sizes.append(len(own))
+            if not rank or not salt:  # every salt has the centres, the first reports them
+                uids.append(uid)
+                verdicts.append(-1 if near else 1 if rank else 0)
+        yield pa.RecordBatch.from_arrays([pa.array(uids, pa.int64()), pa.array(verdicts, pa.int32())], names=["uid", "verdict"])
+
+
+def near_dedup(docs: DataFrame, width: int = WIDTH, similar: float = SIMILAR, part_bytes: int = 8 << 20) -> DataFrame:
+    """``docs`` without the rows that are near copies of a row that stays."""
+    spark = docs.sparkSession
+    text = F.coalesce(F.col("text"), F.lit(""))
+    order = row_order("doc_id", "plain")
+    keyed = docs.select(F.monotonically_increasing_id().alias("uid"), F.struct(*columns_of(docs)).alias("row"), text.alias("plain"), F.col("doc_id").cast("long").alias("doc_id"))
+    base = materialize(keyed.select("uid", "row", *order, F.pandas_udf(word_fps, "array<long>")(F.col("plain")).alias("fps")), "simhash-rows")
+    comp = materialize(candidate_components(base.select("uid", "fps")), "simhash-members")
+    n_members = comp.count()
+    if not n_members:
+        return base.select("row.*")
+    small = F.broadcast(comp) if n_members <= BROADCAST_ROWS else comp
+    body = F.coalesce(F.col("row")["text"], F.lit(""))
+    left = materialize(base.join(small, "uid").select("uid", "component", "ord", "th", body.alias("text")), "simhash-bodies")
+    gone, centres = [], CENTRES
+    while True:
+        # The first rows of each component are its centres; they go to every part of a large one.
+        ranked = left.withColumn("rank", F.row_number().over(Window.partitionBy("component").orderBy("ord", "th", "uid"))).where(F.col("rank") <= centres)
+        first = materialize(ranked.select("uid", "component", "rank"), "simhash-centres")
+        size = left.groupBy("component").agg(F.sum(F.octet_length("text").cast("long") + 64).alias("bytes"), F.count("*").alias("n"))
+        size = materialize(size.select("component", "n", F.ceil(F.col("bytes") / part_bytes).cast("int").alias("salts")), "simhash-sizes")
+        n_first = first.count()
+        named = left.join(F.broadcast(first.drop("component")) if n_first <= BROADCAST_ROWS else first.drop("component"), "uid", "left")
+        named = join_counted(named, size, ["component"]).withColumn("rank", F.coalesce("rank", F.lit(0)))
+        salt = F.when(F.col("rank") == 0, F.array(F.pmod(F.xxhash64("uid"), F.col("salts")).cast("int"))).otherwise(F.sequence(F.lit(0), F.col("salts") - 1))
+        dealt = named.select("component", F.explode(salt).alias("salt"), "rank", "uid", "text").repartition("component", "salt")
+        dealt = dealt.sortWithinPartitions("component", "salt", F.col("rank") == 0, "rank")
+        verdicts = materialize(dealt.mapInArrow(lambda it: _centre_batches(it, width, similar), "uid long, verdict int"), "simhash-verdicts")
+        gone.append(verdicts.where("verdict < 0").select("uid"))
+        open_ = verdicts.where("verdict = 0").select("uid")
+        if not open_.head(1):
+            break
+        left, before, centres = materialize(left.join(open_, "uid", "left_semi"), "simhash-bodies"), left, 4 * centres
+        release(before, first, size)
+    away = gone[0]
+    for x in gone[1:]:
+        away = away.unionByName(x)
+    n_away = away.count()
+    return base.join(F.broadcast(away) if n_away <= BROADCAST_ROWS else away, "uid", "left_anti").select("row.*")
 
 
 def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
