@@ -1,17 +1,21 @@
 """Sharding by histogram sort.
 
-Documents are ordered by a 52-bit key: 28 bits of the text's hash (equal
-texts are neighbours), then 24 bits of the id's hash, so that a text that a
-third of all rows share still has keys to cut between.  Bytes and rows below
-candidate boundaries are counted exactly over all partitions; the bins that
-hold a splitter, or too many rows, are probed again with finer candidates,
-until every splitter meets the tolerance or the key has no bits left.  Rows
-then move once, dealt by the final bins.
+Rows are ordered by a 60-bit key: 24 bits of the text's hash, 24 bits of the
+id's, 12 bits of a row number's, so that a text, or an id, that a third of all
+rows share still has keys to cut between.  Bytes and rows below candidate
+boundaries are counted exactly over all partitions; the bins that hold a
+splitter, or too many rows, are probed again with finer candidates, until every
+splitter meets the tolerance or the key has no bits left.  Rows then move once,
+dealt by the final bins.
 
 Law: ``bytes`` (UTF-8 bytes of the text plus 1 are near equal; off by about
-half a document where one is larger than the tolerance).  A null text counts
-as none.  Repeated rows get slots of their own; an empty table gives an empty
-result; a null doc_id is kept.
+half a document where one is larger than the tolerance).
+
+Cases: a null or empty text has size 1; a null doc_id is kept; rows that share
+an id, or all of a row, get slots of their own, and which of two equal rows
+gets which slot is open; a very long text counts in its bin like any other and
+may fill shards' bounds on its own; other columns are not read, so their names
+cannot clash; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -24,21 +28,21 @@ from pyspark.sql import functions as F
 from .common import docs_of, materialize, table
 
 #: Bits that each round of probes adds; their sum is the width of the key.
-ROUNDS = (12, 8, 8, 8, 8, 8)
+ROUNDS = (16, 8, 8, 8, 8, 12)
 WIDTH = sum(ROUNDS)
 
 
-def sort_key(text, doc_id):
-    of_text = F.shiftrightunsigned(F.xxhash64(text), 36)
-    of_id = F.shiftrightunsigned(F.xxhash64(doc_id, F.lit(1)), 40)
-    return F.shiftleft(of_text, 24).bitwiseOR(of_id)
+def sort_key(text, doc_id, row):
+    part = lambda c, bits, seed: F.shiftrightunsigned(F.xxhash64(c, F.lit(seed)), 64 - bits)
+    return F.shiftleft(part(text, 24, 0), 36).bitwiseOR(F.shiftleft(part(doc_id, 24, 1), 12)).bitwiseOR(part(row, 12, 2))
 
 
 def probe(keyed: DataFrame, n_shards: int, tolerance: float, piece: int) -> list[tuple[int, int, int, int]]:
     """Bins (round, prefix, rows, bytes) in key order, refined until done.
-    Only bins with a splitter (fewer than shards) or over a 1024th of all
-    rows (fewer than 1024) are refined, so a round counts a bounded number
-    of bins and only they come to the driver."""
+    Only bins with a splitter (fewer than shards) or over a 32768th of all
+    rows (fewer than 32768, and twice what the first bins hold on average) are
+    refined, so a round counts a bounded number of bins and
+    only they come to the driver."""
     leaves: dict[tuple[int, int], tuple[int, int]] = {}
     bits, rows, refine = 0, keyed, None
     for k, more in enumerate(ROUNDS):
@@ -58,7 +62,7 @@ def probe(keyed: DataFrame, n_shards: int, tolerance: float, piece: int) -> list
             n, b = leaves[x]
             inside = any(at + near < t < at + b - near for t in targets[bisect_left(targets, at) : bisect_left(targets, at + b)])
             at += b
-            if x[0] == k and n > 1 and (inside or n > max(piece, total_rows / 1024)):
+            if x[0] == k and n > 1 and (inside or n > max(piece, total_rows / 32768)):
                 refine.append(x[1])
         if not refine or k == len(ROUNDS) - 1:
             return [(*x, *leaves[x]) for x in order]
@@ -88,7 +92,7 @@ def place(leaves: list[tuple[int, int, int, int]], n_shards: int) -> list[tuple[
     return out
 
 
-def histogram_shards(docs: DataFrame, n_shards: int = 16, tolerance: float = 1e-4, piece: int = 4096) -> DataFrame:
+def histogram_shards(docs: DataFrame, n_shards: int = 16, tolerance: float = 1e-4, piece: int = 1024) -> DataFrame:
     """(doc_id, size, text_crc32, shard, slot) of every row."""
     spark = docs.sparkSession
     d = docs_of(docs)
@@ -97,7 +101,7 @@ def histogram_shards(docs: DataFrame, n_shards: int = 16, tolerance: float = 1e-
             "doc_id",
             (F.octet_length("text") + 1).cast("long").alias("size"),
             F.crc32(F.col("text").cast("binary")).alias("text_crc32"),
-            sort_key(F.col("text"), F.col("doc_id")).alias("ord"),
+            sort_key(F.col("text"), F.col("doc_id"), F.monotonically_increasing_id()).alias("ord"),
         ),
         "shard-keys",
     )
