@@ -6,71 +6,69 @@ each different text, so a text that a third of all rows share moves once for
 each task.  Those rows are dealt by length and content hash and inserted into
 tries again; a terminal node holds the owner so far (most code points in the
 original, then smallest doc_id) and the number of rows.  A trie over its
-memory bound spills its heaviest subtree to a file and goes on; spilled
-subtrees are built again one at a time.
+memory bound spills subtrees and goes on: what is in them leaves the task as
+rows, which are dealt again over as many parts as they need, so memory is
+bounded and nothing is kept on a machine's own disk.  A row finds its class by
+the SHA-256 of its text.
 
 Cases: null counts as empty, and empty texts are equal to one another; rows
-that share a doc_id are counted one by one; a null doc_id comes last among
-equals; an empty table gives an empty result.
+that share a doc_id are counted one by one, and of rows that tie in code points
+and id exactly one stays; a null doc_id comes last among equals; a text over
+the memory bound is held alone; other columns are not read, so their names
+cannot clash; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
-import pickle
-import tempfile
+import hashlib
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import docs_of, materialize, table
+from .common import LAST, docs_of, join_counted, materialize, table
 
-LAST = (1 << 63) - 1
 #: Bytes of labels (and an allowance for each node) that a trie holds.
 SPILL = 64 << 20
 NODE = 300
 
+Value = tuple[int, int, int, int]
+
 
 class PatriciaTrie:
-    """Byte strings with (code points, id, rows) at their terminal nodes.
+    """Byte strings with (code points, id, row, rows) at their terminal nodes.
 
-    A node is [label, children by first byte, value or None]."""
+    A node is [label, children by first byte, value or None]; a child that is
+    None stands for a subtree that was spilled."""
 
-    def __init__(self, limit: int = SPILL, depth: int = 0):
-        self.limit, self.depth = limit, depth
+    def __init__(self) -> None:
         self.root: list = [b"", {}, None]
-        self.weight: dict[int, int] = {}
-        self.spilled: dict[int, object] = {}
+        self.weight = self.strings = 0
 
     @staticmethod
-    def better(a: tuple | None, b: tuple) -> tuple:
+    def better(a: Value | None, b: Value) -> Value:
         if a is None:
             return b
-        top = a if (-a[0], a[1]) <= (-b[0], b[1]) else b
-        return (top[0], top[1], a[2] + b[2])
-
-    def insert(self, key: bytes, value: tuple) -> None:
-        branch = key[0] if key else -1
-        if branch in self.spilled:
-            pickle.dump((key, value), self.spilled[branch])
-            return
-        grown = self._insert(key, value)
-        if grown:
-            self.weight[branch] = self.weight.get(branch, 0) + grown
-            while sum(self.weight.values()) > self.limit:
-                self._spill(max(self.weight, key=self.weight.get))
+        top = a if (-a[0], *a[1:3]) <= (-b[0], *b[1:3]) else b
+        return (*top[:3], a[3] + b[3])
 
-    def _insert(self, key: bytes, value: tuple) -> int:
+    def insert(self, key: bytes, value: Value) -> bool:
+        """False where the key belongs to a spilled subtree."""
         node, at = self.root, 0
         while True:
             if at == len(key):
+                self.strings += node[2] is None
                 node[2] = self.better(node[2], value)
-                return 0
-            child = node[1].get(key[at])
-            if child is None:
+                return True
+            if key[at] not in node[1]:
                 node[1][key[at]] = [key[at:], {}, value]
-                return len(key) - at + NODE
+                self.weight += len(key) - at + NODE
+                self.strings += 1
+                return True
+            child = node[1][key[at]]
+            if child is None:
+                return False
             label = child[0]
             if key.startswith(label, at):
                 node, at = child, at + len(label)
@@ -86,106 +84,153 @@ class PatriciaTrie:
             upper = [label[:low], {label[low]: child} if low < len(label) else {}, None]
             child[0] = label[low:]
             node[1][key[at]] = upper
+            self.weight += NODE
             node, at = upper, at + low
-            if at == len(key):
-                upper[2] = value
-                return NODE
-            upper[1][key[at]] = [key[at:], {}, value]
-            return len(key) - at + 2 * NODE
 
     @staticmethod
-    def walk(node: list, prefix: bytes) -> Iterator[tuple[bytes, tuple]]:
+    def walk(node: list, prefix: bytes = b"") -> Iterator[tuple[bytes, Value]]:
         todo = [(node, prefix)]
         while todo:
             node, prefix = todo.pop()
             prefix += node[0]
             if node[2] is not None:
                 yield prefix, node[2]
-            todo += [(child, prefix) for child in node[1].values()]
-
-    def _spill(self, branch: int) -> None:
-        out = tempfile.TemporaryFile()
-        self.spilled[branch] = out
-        if branch >= 0:
-            for item in self.walk(self.root[1].pop(branch), b""):
-                pickle.dump(item, out)
-        self.weight.pop(branch)
-
-    def items(self) -> Iterator[tuple[bytes, tuple]]:
-        """Each string once.  Frees what it yields."""
-        yield from self.walk(self.root, b"")
-        self.root, self.weight = [b"", {}, None], {}
-        for branch, out in self.spilled.items():
-            out.seek(0)
-            part = PatriciaTrie(self.limit, self.depth + 1)
-            common = b"" if branch < 0 else bytes([branch])
-            # Below its first byte a spilled subtree fits, or spills again one byte deeper.
-            while True:
-                try:
-                    key, value = pickle.load(out)
-                except EOFError:
-                    break
-                if self.depth > 64:
-                    part.limit = 1 << 62
-                part.insert(key[len(common):], value)
-            out.close()
-            for key, value in part.items():
-                yield common + key, value
-        self.spilled = {}
-
-
-def distinct_texts(batches: Iterator[pa.RecordBatch], limit: int = SPILL) -> Iterator[pa.RecordBatch]:
-    """The different texts of a task, with owner and count so far."""
-    trie = PatriciaTrie(limit)
+            todo += [(child, prefix) for child in node[1].values() if child is not None]
+
+    def spill(self, stub: bool) -> Iterator[tuple[bytes, Value]]:
+        """Takes out subtrees of a quarter of the weight and more together,
+        found below the heaviest path, so that strings with a common opening
+        come apart where they differ.  With ``stub`` the trie remembers where
+        they were.  The last string stays."""
+        if self.strings < 2:
+            return
+        order, todo = [], [self.root]
+        while todo:
+            order.append(todo.pop())
+            todo += [c for c in order[-1][1].values() if c is not None]
+        weight: dict[int, int] = {}
+        for node in reversed(order):
+            weight[id(node)] = NODE + len(node[0]) + sum(weight[id(c)] for c in node[1].values() if c is not None)
+        of = lambda node: sorted(((weight[id(c)], k) for k, c in node[1].items() if c is not None), reverse=True)
+        path, prefix, total = [self.root], b"", weight[id(self.root)]
+        while (below := of(path[-1])) and 2 * below[0][0] > total and of(path[-1][1][below[0][1]]):
+            path.append(path[-1][1][below[0][1]])
+        if len(path) > 1 and 4 * sum(w for w, _ in below) < total and 2 * (weight[id(path[-1])] - len(path[-1][0])) < weight[id(path[-1])]:
+            # The weight is in the path's own label: the node goes as a whole.
+            below = [(weight[id(path[-1])], path[-1][0][0])]
+            path.pop()
+        prefix = b"".join(node[0] for node in path)
+        freed, node = 0, path[-1]
+        for w, k in below:
+            if 4 * freed >= total or self.strings < 2:
+                break
+            child = node[1][k]
+            for key, value in self.walk(child, prefix):
+                self.strings -= 1
+                yield key, value
+            if stub:
+                node[1][k] = None
+            else:
+                del node[1][k]
+            freed += w
+        self.weight = max(0, total - freed)
+
+
+KEYED = pa.schema([("uid", pa.int64()), ("id", pa.int64()), ("sha", pa.binary()), ("norm", pa.binary()), ("cp", pa.int64()), ("n", pa.int64())])
+KIND = "uid long, id long, sha binary, norm binary, cp long, n long"
+
+
+class Rows:
+    """Rows of KEYED, passed on some megabytes at a time."""
+
+    def __init__(self) -> None:
+        self.rows: list[tuple] = []
+        self.size = 0
+
+    def add(self, key: bytes, value: Value, done: bool) -> None:
+        cp, i, uid, n = value
+        self.rows.append((uid, i, hashlib.sha256(key).digest() if done else None, None if done else key, cp, n))
+        self.size += len(key) + 100
+
+    def full(self, least: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+        if self.rows and self.size >= least:
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*self.rows), KEYED)], schema=KEYED)
+            self.rows, self.size = [], 0
+
+
+def hashed_rows(batches: Iterator[pa.RecordBatch], limit: int = SPILL) -> Iterator[pa.RecordBatch]:
+    """(uid, id, cp, norm) to a row for each with its digest, and a row for
+    each different text of the task with owner and count so far (norm set)."""
+    trie, out = PatriciaTrie(), Rows()
     for b in batches:
-        for text, cp, i, n in zip(b["norm"], b["cp"].to_pylist(), b["id"].to_pylist(), b["n"].to_pylist()):
-            trie.insert(text.as_py(), (cp, i, n))
-    rows: list = []
-    size = 0
-    names = ("norm", "cp", "id", "n")
-    kinds = (pa.binary(), pa.int64(), pa.int64(), pa.int64())
-
-    def pack() -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=names)
-
-    for text, value in trie.items():
-        rows.append((text, *value))
-        size += len(text)
-        if size > 4 << 20 or len(rows) >= 8192:
-            yield pack()
-            rows, size = [], 0
-    if rows:
-        yield pack()
+        digests = []
+        for text, cp, i, uid in zip(b["norm"], b["cp"].to_pylist(), b["id"].to_pylist(), b["uid"].to_pylist()):
+            raw = text.as_py()
+            digests.append(hashlib.sha256(raw).digest())
+            trie.insert(raw, (cp, i, uid, 1))
+            while trie.weight > limit and trie.strings > 1:
+                for key, value in trie.spill(stub=False):  # counted so far; the rest is counted after the exchange
+                    out.add(key, value, False)
+                    yield from out.full()
+        none = pa.nulls(b.num_rows, pa.binary())
+        zero = pa.nulls(b.num_rows, pa.int64())
+        yield pa.RecordBatch.from_arrays([b["uid"], b["id"], pa.array(digests, pa.binary()), none, zero, zero], schema=KEYED)
+    for key, value in trie.walk(trie.root):
+        out.add(key, value, False)
+        yield from out.full()
+    yield from out.full(0)
 
 
 def owned_texts(batches: Iterator[pa.RecordBatch], limit: int = SPILL) -> Iterator[pa.RecordBatch]:
-    """(digest, keep_id, group_size) of each different text of a task."""
-    import hashlib
-
-    for b in distinct_texts(batches, limit):
-        digests = [hashlib.sha256(x.as_py()).hexdigest() for x in b["norm"]]
-        yield pa.RecordBatch.from_arrays([pa.array(digests, pa.string()), b["id"], b["n"]], names=("text_sha256", "keep", "group_size"))
+    """One row for each different text of a task: owner, count and digest.
+    What was spilled comes out as it came in (norm set), for another round."""
+    trie, out = PatriciaTrie(), Rows()
+    for b in batches:
+        for text, cp, i, uid, n in zip(b["norm"], b["cp"].to_pylist(), b["id"].to_pylist(), b["uid"].to_pylist(), b["n"].to_pylist()):
+            raw = text.as_py()
+            if not trie.insert(raw, (cp, i, uid, n)):
+                out.add(raw, (cp, i, uid, n), False)
+            while trie.weight > limit and trie.strings > 1:
+                for key, value in trie.spill(stub=True):
+                    out.add(key, value, False)
+                    yield from out.full()
+            yield from out.full()
+    for key, value in trie.walk(trie.root):
+        out.add(key, value, True)
+        yield from out.full()
+    yield from out.full(0)
 
 
 def exact_dedup(docs: DataFrame, spill_bytes: int = SPILL) -> DataFrame:
     """(doc_id, keep_id, group_size, kept, text_sha256) for every row."""
-    d = docs_of(docs)
     norm = F.encode(F.regexp_replace("text", r"[\x20\x09-\x0D]+", ""), "UTF-8")
-    row = d.select(norm.alias("norm"), F.length("text").cast("long").alias("cp"), F.coalesce("doc_id", F.lit(LAST)).alias("id"), F.lit(1).cast("long").alias("n"))
-    kind = "norm binary, cp long, id long, n long"
-    once = row.mapInArrow(lambda it: distinct_texts(it, spill_bytes), kind)
-    dealt = once.repartition(F.octet_length("norm"), F.xxhash64("norm"))
-    owners = materialize(dealt.mapInArrow(lambda it: owned_texts(it, spill_bytes), "text_sha256 string, keep long, group_size long"), "exact-owners")
-    many = owners.where("group_size > 1")
-    own = d.select("doc_id", F.coalesce("doc_id", F.lit(LAST)).alias("id"), F.sha2(norm, 256).alias("text_sha256"))
-    j = own.join(many, "text_sha256", "left")
+    row = docs_of(docs).select(F.monotonically_increasing_id().alias("uid"), F.coalesce("doc_id", F.lit(LAST)).alias("id"), F.length("text").cast("long").alias("cp"), norm.alias("norm"))
+    first = materialize(row.mapInArrow(lambda it: hashed_rows(it, spill_bytes), KIND), "exact-rows")
+    todo, done, rounds = first.where("norm IS NOT NULL"), None, 0
+    while True:
+        # The first deal is by length and content; what was spilled is dealt again, over parts that fit.
+        deal = [F.octet_length("norm"), F.xxhash64("norm", F.lit(rounds))]
+        if rounds:
+            size = todo.agg(F.sum(F.octet_length("norm").cast("long") + NODE)).first()[0]
+            todo = todo.repartition(max(1, -(-4 * size // spill_bytes)), *deal)
+        else:
+            todo = todo.repartition(*deal)
+        part = materialize(todo.mapInArrow(lambda it: owned_texts(it, spill_bytes), KIND), "exact-owners")
+        own = part.where("norm IS NULL").select("sha", F.col("id").alias("keep"), F.col("uid").alias("keep_uid"), F.col("n").alias("group_size"))
+        done = own if done is None else done.unionByName(own)
+        todo, rounds = part.where("norm IS NOT NULL"), rounds + 1
+        if not todo.head(1):
+            break
+    many = done.where("group_size > 1")
+    own = first.where("norm IS NULL").select("uid", "id", "sha")
+    j = join_counted(own, many, ["sha"], "group_size", "left")
     keep = F.coalesce("keep", "id")
     return j.select(
-        "doc_id",
+        F.when(F.col("id") != LAST, F.col("id")).alias("doc_id"),
         F.when(keep != LAST, keep).alias("keep_id"),
         F.coalesce("group_size", F.lit(1).cast("long")).alias("group_size"),
-        (keep == F.col("id")).alias("kept"),
-        "text_sha256",
+        (F.coalesce("keep_uid", "uid") == F.col("uid")).alias("kept"),
+        F.lower(F.hex("sha")).alias("text_sha256"),
     )
 
 
@@ -201,7 +246,7 @@ WITH d AS (
 SELECT doc_id,
        first_value(doc_id) OVER (PARTITION BY norm ORDER BY length(t) DESC, doc_id) AS keep_id,
        count(*) OVER (PARTITION BY norm) AS group_size,
-       first_value(doc_id) OVER (PARTITION BY norm ORDER BY length(t) DESC, doc_id) = doc_id AS kept,
+       row_number() OVER (PARTITION BY norm ORDER BY length(t) DESC, doc_id) = 1 AS kept,
        sha256(norm) AS text_sha256
 FROM d
 """
