@@ -1,16 +1,24 @@
-"""Line dedup on repeated windows of two lines.
-
-Each line starts a window of ``min_lines`` lines.  A window that an earlier
-place holds too goes, so of a run of two lines and more that occurs more than
-once in the corpus all lines go, but for the first occurrence (smallest
-doc_id, then first line).  A window that overlaps its own first occurrence
-stays.  Whether two windows are equal is decided on their bytes: they are
-grouped by their whole text; hashes only say which windows need that, and
-carry the verdict back.
-
-Cases: a null or empty text has no window of two lines; rows that share a
-doc_id are judged as one document; a null doc_id comes last in order; an empty
-table gives an empty result.
+"""Line dedup by content-defined chunks of lines, extended to single windows.
+
+A rolling hash over the hashes of ``min_lines`` neighbouring lines chooses
+where a chunk of lines ends, so an insertion moves at most the borders next to
+it.  A chunk of several lines that an earlier place holds too goes as a whole.
+What chunks cannot see (passages that lie across borders, or are shorter than
+a chunk) is found line by line: every window of ``min_lines`` lines outside of
+the chunks that go is looked up in the same way.  So of a run of two lines and
+more that occurs more than once in the corpus all lines go, but for the first
+occurrence (smallest doc_id, then first line).  A chunk or window that overlaps
+its own first occurrence stays.  Whether two of them are equal is decided on
+their bytes: they are grouped by their whole text; hashes only say which need
+that, and a SHA-256 carries the verdict back.
+
+Cases: a null or empty text has no window of two lines; each row is judged on
+its own, rows that share a doc_id in the order of their texts' hashes, null
+doc_ids last in the same way; of rows with equal id and text all but one lose
+all their windows; of equal windows at equal places of rows whose id and hash
+agree though their texts differ both stay; a very long text costs in proportion
+to its lines; other columns of the input are not read, so their names cannot
+clash; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -18,82 +26,110 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import docs_of, materialize, table
+from .common import docs_of, join_counted, materialize, place_of, release, repeated_rows, row_order, table
 
-LAST = (1 << 63) - 1
+SPANS = "array<struct<first:int,last:int>>"
+#: Lines of a chunk on average.
+MEAN_LINES = 8
 
 
-def split_lines(docs: DataFrame, min_lines: int) -> DataFrame:
-    d = docs_of(docs).select("doc_id", F.split("text", "\n", -1).alias("lines"))
-    return d.where(F.size("lines") >= min_lines)
-
-
-def window_hashes(docs: DataFrame, min_lines: int = 2) -> DataFrame:
-    """(doc_id, first, h) of every window of ``min_lines`` lines, lines from 0."""
+def lined(docs: DataFrame, min_lines: int = 2) -> DataFrame:
+    """A written table: (uid, doc_id, ord, th, digest, n_lines, lines, h) of
+    every row.  lines are the text, h has the hash of each window and is null
+    for texts with fewer lines."""
+    d = docs_of(docs).select(F.monotonically_increasing_id().alias("uid"), "doc_id", *row_order(), F.unhex(F.md5("text")).alias("digest"), F.split("text", "\n", -1).alias("l"))
     # One pass over each document: a look-up by place in a lambda would split the text again for each line.
-    h, *more = [F.slice("lines", F.lit(k + 1), F.size("lines") - (min_lines - 1)) for k in range(min_lines)]
+    h, *more = [F.slice("l", F.lit(k + 1), F.size("l") - (min_lines - 1)) for k in range(min_lines)]
     for x in more:
         h = F.zip_with(h, x, lambda a, b: F.xxhash64(a, b))
-    return split_lines(docs, min_lines).select("doc_id", F.posexplode(h).alias("first", "h"))
-
-
-def line_windows(docs: DataFrame, min_lines: int = 2) -> DataFrame:
-    """(doc_id, first, chunk): the windows whose hash comes more than once.
-    Each window of a text that another has is among them."""
-    hashes = materialize(window_hashes(docs, min_lines), "line-hashes")
-    again = hashes.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
-    hit = hashes.join(again, "h", "left_semi").groupBy(F.coalesce("doc_id", F.lit(LAST)).alias("key")).agg(F.collect_set("first").alias("at"))
-    d = split_lines(docs, min_lines).withColumn("key", F.coalesce("doc_id", F.lit(LAST))).join(hit, "key")
-    # Rows that share a doc_id share the places; a row may be too short for some.
-    at = F.filter("at", lambda i: i + min_lines <= F.size("lines"))
-    text = F.transform(at, lambda i: F.struct(i.alias("first"), F.array_join(F.slice("lines", i + 1, min_lines), "\n").alias("chunk")))
-    return d.select("doc_id", F.explode(text).alias("x")).select("doc_id", "x.first", "x.chunk")
-
-
-def repeated_windows(windows: DataFrame, min_lines: int = 2) -> DataFrame:
-    """(doc_id, first) of the windows to remove."""
-    place = F.coalesce("doc_id", F.lit(LAST)).cast("decimal(20,0)") * F.lit(1 << 31).cast("decimal(11,0)") + F.col("first")
-    place = place.cast("decimal(38,0)")
-    name = [F.unhex(F.md5("chunk")).alias("digest"), F.octet_length("chunk").alias("n")]
+    d = d.select("uid", "doc_id", "ord", "th", "digest", F.size("l").cast("long").alias("n_lines"), F.col("l").alias("lines"), F.when(F.size("l") >= min_lines, h).alias("h"))
+    return materialize(d, "lined")
+
+
+def line_chunks(rows: DataFrame, min_lines: int = 2, mean_lines: int = MEAN_LINES) -> DataFrame:
+    """(uid, first, last, h) of the content-defined chunks of min_lines lines
+    and more; a chunk ends before a line where the rolling hash says so."""
+    n = F.col("n_lines").cast("int")
+    cuts = F.filter(F.sequence(F.lit(1), n - 1), lambda i: F.pmod(F.get("h", i - 1), F.lit(mean_lines)) == 0)
+    d = rows.where("h IS NOT NULL").select("uid", "lines", F.concat(F.array(F.lit(0)), cuts).alias("a"), F.concat(cuts, F.array(n)).alias("b"))
+    d = d.select("uid", "lines", F.explode(F.arrays_zip("a", "b")).alias("x")).where(F.col("x.b") - F.col("x.a") >= min_lines)
+    return d.select("uid", F.col("x.a").alias("first"), F.col("x.b").alias("last"), F.xxhash64(F.slice("lines", F.col("x.a") + 1, F.col("x.b") - F.col("x.a"))).alias("h"))
+
+
+def line_windows(rows: DataFrame, gone: DataFrame, min_lines: int = 2) -> DataFrame:
+    """(uid, first, last, h) of the windows that are in no chunk of ``gone``
+    (uid, at): what is in one has an earlier copy, and is no first occurrence."""
+    d = rows.where("h IS NOT NULL").select("uid", "h").join(gone, "uid", "left")
+    inside = F.flatten(F.transform("at", lambda x: F.sequence(x["first"], x["last"] - min_lines)))
+    # A hash set, not a search for each window.
+    left = F.array_except(F.sequence(F.lit(0), F.size("h") - 1), F.coalesce(inside, F.array().cast("array<int>")))
+    d = d.select("uid", F.explode(F.transform(left, lambda i: F.struct(i.alias("first"), F.get("h", i).alias("h")))).alias("x"))
+    return d.select("uid", "x.first", (F.col("x.first") + min_lines).alias("last"), "x.h")
+
+
+def later_copies(rows: DataFrame, pieces: DataFrame) -> DataFrame:
+    """(uid, at: array of first, last), a written table: the pieces (uid,
+    first, last, h) whose text an earlier place holds."""
+    again = materialize(pieces.groupBy("h").agg(F.count("*").alias("n")).where("n > 1"), "line-hashes")
+    hit = join_counted(pieces, again, ["h"]).groupBy("uid").agg(F.collect_list(F.struct("first", "last")).alias("at"))
+    d = rows.select("uid", "ord", "th", "lines").join(materialize(hit, "line-hits"), "uid")
+    text = F.transform("at", lambda x: F.struct(x["first"].alias("first"), x["last"].alias("last"), F.array_join(F.slice("lines", x["first"] + 1, x["last"] - x["first"]), "\n").alias("text")))
+    d = d.select("uid", "ord", "th", F.explode(text).alias("x")).select("uid", "ord", "th", "x.first", "x.last", "x.text")
+    written = materialize(d, "line-pieces")
+    place, name = place_of("first"), F.unhex(F.sha2("text", 256)).alias("digest")
     # The hash aggregate compares whole texts; copies of one task become one row before they move.
-    texts = windows.groupBy("chunk").agg(F.count("*").alias("copies"), F.min(place).alias("owner"))
-    by_name = texts.select(*name, "copies", "owner").groupBy("digest", "n").agg(F.count("*").alias("texts"), F.max("copies").alias("copies"), F.min("owner").alias("owner"))
-    # A name that two texts share proves nothing; its windows stay.
-    by_name = by_name.where("copies > 1 AND texts = 1").select("digest", "n", "owner")
-    occ = windows.select("doc_id", "first", place.alias("place"), *name)
-    return occ.join(by_name, ["digest", "n"]).where(F.col("place") - F.col("owner") >= min_lines).select("doc_id", "first")
+    texts = written.groupBy("text").agg(F.count("*").alias("copies"), F.min(place).alias("owner")).where("copies > 1")
+    by_name = texts.select(name, "copies", "owner").groupBy("digest").agg(F.count("*").alias("texts"), F.max("copies").alias("copies"), F.min("owner").alias("owner"))
+    # No two texts with one SHA-256 are known; were there any, their pieces would stay.
+    by_name = materialize(by_name.where("texts = 1").select("digest", "copies", "owner"), "line-owners")
+    occ = written.select("uid", "first", "last", place.alias("place"), name)
+    later = join_counted(occ, by_name, ["digest"], "copies").where(F.col("place") - F.col("owner") >= F.col("last") - F.col("first"))
+    out = materialize(later.groupBy("uid").agg(F.array_sort(F.collect_list(F.struct("first", "last"))).alias("at")), "line-copies")
+    release(again, written, by_name)
+    return out
+
+
+def removed_lines(rows: DataFrame, min_lines: int = 2) -> DataFrame:
+    """(uid, removed): the line ranges to remove, as long as possible, for
+    rows with any."""
+    copies = repeated_rows(rows.select("uid", "ord", "digest"))
+    own = rows if copies is None else rows.join(copies, "uid", "left_anti")
+    chunks = later_copies(own, line_chunks(own, min_lines))
+    windows = later_copies(own, line_windows(own, chunks, min_lines))
+    both = chunks.unionByName(windows).groupBy("uid").agg(F.array_sort(F.flatten(F.collect_list("at"))).alias("at"))
+    # No piece is inside of another, so both ends are in order; those that overlap or touch are one range.
+    begins = F.filter("at", lambda x, i: (i == 0) | (x["first"] > F.get("at", i - 1)["last"]))
+    ends = F.filter("at", lambda x, i: (i == F.size("at") - 1) | (F.get("at", i + 1)["first"] > x["last"]))
+    spans = F.zip_with(begins, ends, lambda a, b: F.struct(a["first"].alias("first"), b["last"].alias("last")))
+    out = both.select("uid", spans.cast(SPANS).alias("removed"))
+    if copies is not None:
+        again = rows.join(copies, "uid", "left_semi").where(F.col("n_lines") >= min_lines)
+        out = out.unionByName(again.select("uid", F.array(F.struct(F.lit(0).alias("first"), F.col("n_lines").cast("int").alias("last"))).cast(SPANS).alias("removed")))
+    return out
 
 
 def line_dedup(docs: DataFrame, min_lines: int = 2) -> DataFrame:
-    """(doc_id, removed): the line ranges to remove, as long as possible, for
-    documents with any."""
-    gone = repeated_windows(materialize(line_windows(docs, min_lines), "line-windows"), min_lines)
-    d = gone.groupBy(F.coalesce("doc_id", F.lit(LAST)).alias("doc_id")).agg(F.array_sort(F.collect_set("first")).alias("at"))
-    # Windows that overlap or touch are one range.
-    begins = F.filter("at", lambda x, i: (i == 0) | (x - F.get("at", i - 1) > min_lines))
-    ends = F.filter("at", lambda x, i: (i == F.size("at") - 1) | (F.get("at", i + 1) - x > min_lines))
-    ends = F.transform(ends, lambda x: x + min_lines)
-    return d.select("doc_id", F.arrays_zip(begins.alias("first"), ends.alias("last")).alias("removed"))
-
-
-def with_removed(docs: DataFrame, min_lines: int, *columns) -> DataFrame:
-    d = docs_of(docs).select("doc_id", F.coalesce("doc_id", F.lit(LAST)).alias("key"), *columns)
-    gone = line_dedup(docs, min_lines).select(F.col("doc_id").alias("key"), "removed")
-    none = F.array().cast("array<struct<first:int,last:int>>")
-    return d.join(gone, "key", "left").select("doc_id", *[c for c in d.columns if c not in ("doc_id", "key")], F.coalesce("removed", none).alias("removed"))
+    """(doc_id, n_lines, removed) of every row."""
+    rows = lined(docs, min_lines)
+    gone = removed_lines(rows, min_lines)
+    r = rows.select("uid", "doc_id", "n_lines").join(gone, "uid", "left")
+    return r.select("doc_id", "n_lines", F.coalesce("removed", F.array().cast(SPANS)).alias("removed"))
 
 
 def cleaned_lines(docs: DataFrame, min_lines: int = 2) -> DataFrame:
     """(doc_id, text) with the repeated ranges taken out."""
-    r = with_removed(docs, min_lines, "text").withColumn("lines", F.split("text", "\n", -1))
-    kept = F.filter("lines", lambda x, i: ~F.exists("removed", lambda y: (y["first"] <= i) & (i < y["last"])))
-    return r.select("doc_id", F.array_join(kept, "\n").alias("text"))
+    rows = lined(docs, min_lines)
+    gone = F.flatten(F.transform("removed", lambda x: F.sequence(x["first"], x["last"] - 1)))
+    # Line numbers less those that go: a hash set, not a search for each line.
+    stay = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), gone)
+    r = rows.join(removed_lines(rows, min_lines), "uid", "left")
+    text = F.array_join(F.when(F.col("removed").isNull(), F.col("lines")).otherwise(F.transform(stay, lambda i: F.get("lines", i))), "\n")
+    return r.select("doc_id", text.alias("text"))
 
 
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: its lines, how many go, and the ranges that go."""
-    lines = (F.length("text") - F.length(F.replace(F.col("text"), F.lit("\n"), F.lit(""))) + 1).cast("long")
-    r = with_removed(table(spark, sf_dir, "documents"), 2, lines.alias("n_lines"))
+    r = line_dedup(table(spark, sf_dir, "documents"))
     ranges = F.transform("removed", lambda x: F.concat_ws(":", x["first"].cast("string"), x["last"].cast("string")))
     return r.select(
         "doc_id", "n_lines",
