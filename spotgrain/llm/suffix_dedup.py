@@ -12,14 +12,22 @@ earlier (smaller doc_id, or earlier in the same document).
    of neighbours after Kasai (a prefix is taken from the position before
    where both are neighbours there too), and so each window's first place in
    the shard, exactly.
-3. What is first in its shard is merged across shards: windows around one
-   anchor meet in one task, each is looked up by binary search among the
-   sorted windows, and the bytes are compared.  A shard sends a passage once,
-   however often it holds it.
+3. What is first in its shard is merged across shards: the text around one
+   anchor meets in one task, where equal texts become one and the windows of
+   the others are put in one suffix order by their bytes; of equal neighbours
+   the first in the corpus stays.  A shard sends a passage once, however often
+   it holds it.
+4. The text around a hot anchor (over HOT contexts, such as a stock line amid
+   differing text) is dealt by finer keys: windows are taken STEP offsets
+   together, and the bytes that all of these share join the key.  Each part of
+   a hot key first drops what repeats in it, and the rest of the parts meets.
 
 Cases: a null or empty text, and one under 100 bytes, keeps all; rows that
-share a doc_id are ordered by their bytes; a null doc_id comes last; an
-empty table gives an empty result.
+share a doc_id are ordered by a 63-bit hash of their texts, and of equal rows
+all but one lose all of it; a null doc_id comes last; the anchors of a very long text are
+found in pieces, and its shard holds it whole, some 40 bytes a byte; other
+columns are not read, so their names cannot clash; an empty table gives an
+empty result.
 """
 
 from __future__ import annotations
@@ -32,12 +40,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import docs_of, materialize, row_blocks, table, text_column
+from .common import LAST, docs_of, join_counted, materialize, repeated_rows, row_blocks, table, text_column
 
-LAST = (1 << 63) - 1
 GRAM = 32
 SHARD_BYTES = 4 << 20
 PIECE = 1 << 20
+#: A block of rows, or a piece of one, has no more bytes than 2 to that.
+PLACE_BITS = 22
+#: Contexts of an anchor from which it is hot; offsets of a hot key's windows that go together; its parts.
+HOT, STEP, PARTS = 4096, 4, 64
 
 
 def _splitmix(x: np.ndarray) -> np.ndarray:
@@ -78,8 +89,8 @@ def anchors(data: np.ndarray, offsets: np.ndarray, width: int) -> tuple[np.ndarr
     if n < width:
         return none, none, none, none
     h = _splitmix(rolling(data, (GRAM,))[GRAM])
-    bits = max(1, int(n - 1).bit_length())
-    low = np.uint64((1 << bits) - 1)
+    # Always the same bits give way to the place, so equal windows choose equal grams in any block.
+    low = np.uint64((1 << PLACE_BITS) - 1)
     m = (h & ~low) | np.arange(len(h), dtype=np.uint64)
     grams, k = width - GRAM + 1, 1
     while 2 * k <= grams:
@@ -180,7 +191,7 @@ def larsson_sadakane(data: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarr
     start as far behind as is sorted so far."""
     n = len(data)
     word = eight(data)
-    sa = np.argsort(word, kind="stable")
+    sa = np.argsort(word)  # equal ones in any order: their groups are sorted on
     new = np.concatenate([[True], word[sa[1:]] != word[sa[:-1]]])
     del word
     last = np.concatenate([np.flatnonzero(new)[1:], [n]]) - 1
@@ -197,7 +208,7 @@ def larsson_sadakane(data: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarr
         s = sa[slots]
         behind = np.where(s + h < n, rank[np.minimum(s + h, n - 1)] + 1, 0)
         key = (rank[s] << 32) | behind
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)
         s, key = s[order], key[order]
         sa[slots] = s
         new = np.concatenate([[True], key[1:] != key[:-1]])
@@ -220,7 +231,9 @@ def kasai(data: np.ndarray, sa: np.ndarray, slots: np.ndarray) -> np.ndarray:
     at = np.flatnonzero(phi[:n] >= 0)
     reduced = np.zeros(len(at), bool)
     before = at - 1
-    reduced[1:] = (before[1:] >= 0) & (phi[before[1:]] >= 0) & (phi[at[1:]] == phi[before[1:]] + 1)
+    # Only where the pair before shares its byte: with a common prefix of 0 it says nothing about this one.
+    last = np.maximum(before[1:], 0)
+    reduced[1:] = (before[1:] >= 0) & (phi[last] >= 0) & (phi[at[1:]] == phi[last] + 1) & (data[last] == data[np.maximum(phi[last], 0)])
     # Where the pair before was no neighbour, compare eight bytes at a time.
     word = eight(data)
     i = at[~reduced]
@@ -287,9 +300,9 @@ def merge(lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return lo[new], hi[np.concatenate([np.flatnonzero(new)[1:] - 1, [len(hi) - 1]])]
 
 
-SHARD_ROWS = "kind int, key long, doc_id long, row int, lo int, anchor int, n_bytes long, n_removed long, n_spans long, sha string, spans binary, body binary"
+SHARD_ROWS = "kind int, key long, doc_id long, row long, lo int, anchor int, n_bytes long, n_removed long, n_spans long, sha string, spans binary, body binary"
 SHARD_TYPES = pa.schema(
-    [("kind", pa.int32()), ("key", pa.int64()), ("doc_id", pa.int64()), ("row", pa.int32()), ("lo", pa.int32()), ("anchor", pa.int32()),
+    [("kind", pa.int32()), ("key", pa.int64()), ("doc_id", pa.int64()), ("row", pa.int64()), ("lo", pa.int32()), ("anchor", pa.int32()),
      ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("sha", pa.string()), ("spans", pa.binary()), ("body", pa.binary())]
 )
 
@@ -297,13 +310,10 @@ SHARD_TYPES = pa.schema(
 def shard_rows(docs: pa.Table, keys: pa.Table, width: int) -> pa.Table:
     """One row for each document (kind 0), and the contexts (kind 1) of its
     windows that are first in the shard but may occur in others."""
-    ids = docs["doc_id"].to_numpy()
-    texts = [x.as_py().encode() for x in docs["text"]]
-    order = sorted(range(len(ids)), key=lambda i: (ids[i], texts[i]))
-    ids, texts = ids[order], [texts[i] for i in order]
-    row = np.zeros(len(ids), np.int64)
-    for i in range(1, len(ids)):
-        row[i] = row[i - 1] + 1 if ids[i] == ids[i - 1] else 0
+    ids, row = docs["doc_id"].to_numpy(), docs["row"].to_numpy()
+    order = np.lexsort((row, ids))
+    ids, row = ids[order], row[order]
+    texts = [x.as_py().encode() for x in docs["text"].take(pa.array(order))]
     data = np.frombuffer(b"".join(texts), np.uint8)
     offsets = np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64)
     known, across = keys["key"].to_numpy(), keys["across"].to_numpy()
@@ -384,71 +394,70 @@ def kept_of(text: bytes, spans: np.ndarray) -> dict:
     return {"n_removed": int((spans[:, 1] - spans[:, 0]).sum()), "n_spans": len(spans), "sha": hashlib.sha256(b"".join(kept)).hexdigest()}
 
 
-def merged_contexts(key: np.ndarray, bodies: list[bytes], width: int) -> np.ndarray:
-    """For each byte of the joined contexts, in order of their documents:
-    whether an equal window of the same anchor starts earlier."""
-    data = np.frombuffer(b"".join(bodies), np.uint8)
-    size = np.array([len(x) for x in bodies])
-    end = np.cumsum(size)
-    start = end - size
-    n = len(data)
-    r = rolling(data, tuple(1 << k for k in range(width.bit_length())))
-    total, done = np.zeros(n - width + 1, np.uint64), 0
-    with np.errstate(over="ignore"):
-        for k in reversed(range(width.bit_length())):
-            if width >> k & 1:
-                total = total * _power(1 << k) + r[1 << k][done : done + len(total)]
-                done += 1 << k
-    del r
-    own = np.repeat(np.arange(len(bodies)), size)
-    valid = np.arange(n) + width <= end[own]
-    p = np.flatnonzero(valid)
-    h = _splitmix(total[p] ^ _splitmix(key.view(np.uint64))[own[p]])
-    del total
-    # The sorted windows of all shards; each window is looked up among them.
-    sorted_h, first = np.unique(h, return_index=True)
-    source = p[first[np.searchsorted(sorted_h, h)]]
-    out = np.zeros(n, bool)
-    word = eight(data)
-    later = np.flatnonzero(source < p)
-    a, b, equal = p[later], source[later], np.ones(len(later), bool)
-    for k in [*range(0, width - 8, 8), width - 8]:
-        equal &= word[a + k] == word[b + k]
-    out[a[equal]] = True
-    if not equal.all():  # two windows share a hash: settle those by their bytes
-        odd = np.isin(h, h[later[~equal]])
-        seen: set = set()
-        raw = data.tobytes()
-        for q in p[odd].tolist():
-            w = (int(key[own[q]]), raw[q : q + width])
-            out[q] = w in seen
-            seen.add(w)
-    del start
-    return out
-
-
-def _merge_batches(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
-    """Contexts sorted by (key, doc_id, row, lo), to the ranges that repeat."""
+def merged_contexts(group: np.ndarray, bodies: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(context, first, last, whole) of contexts in order of group and place:
+    the ranges of windows that an earlier context of the group has, as bytes of
+    the context; and for each context whether all of it has been seen."""
+    seen: dict = {}
+    whole = np.array([seen.setdefault(x, i) != i for i, x in enumerate(zip(group.tolist(), bodies))], bool)
+    size = np.array([len(x) for x in bodies], np.int64)
+    some = np.flatnonzero(~whole)
+    # A group that has one text left has nothing more to compare.
+    _, place, count = np.unique(group[some], return_inverse=True, return_counts=True)
+    some = some[count[place] > 1]
+    again = np.flatnonzero(whole)
+    if not len(some):
+        return again, np.zeros(len(again), np.int64), size[again], whole
+    data = np.frombuffer(b"".join([bodies[i] for i in some]), np.uint8)
+    end = np.cumsum(size[some])
+    own = np.repeat(np.arange(len(some)), size[some])
+    p = np.flatnonzero(np.arange(len(data)) + width <= end[own])
+    # One suffix order of all shards' windows: equal ones are neighbours, in the order of their places.
+    windows = np.lib.stride_tricks.as_strided(data, (len(data) - width + 1, width), (1, 1))[p].view(f"S{width}")[:, 0]
+    order = np.argsort(windows, kind="stable")
+    windows, in_group = windows[order], group[some[own[p[order]]]]
+    later = np.flatnonzero((windows[1:] == windows[:-1]) & (in_group[1:] == in_group[:-1])) + 1
+    flags = np.zeros(len(data), bool)
+    flags[p[order[later]]] = True
+    s, e = runs(flags)  # the last width - 1 bytes of a context start no window
+    c = np.searchsorted(end, s, "right")
+    base = (end - size[some])[c]
+    return (
+        np.concatenate([again, some[c]]),
+        np.concatenate([np.zeros(len(again), np.int64), s - base]),
+        np.concatenate([size[again], e - base + width - 1]),
+        whole,
+    )
+
+
+MERGED = pa.schema([("key", pa.int64()), ("doc_id", pa.int64()), ("row", pa.int64()), ("first", pa.int32()), ("last", pa.int32()), ("body", pa.binary())])
+MERGED_ROWS = "key long, doc_id long, row long, first int, last int, body binary"
+
+
+def _merge_batches(batches: Iterator[pa.RecordBatch], width: int, rest: bool = False) -> Iterator[pa.RecordBatch]:
+    """Contexts (key, part, doc_id, row, lo, body) sorted by these, to the
+    ranges that repeat (body null); with ``rest`` also the contexts that have
+    anything new (body set, first is lo)."""
 
     def out(rows: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t = pa.Table.from_batches(rows)
-        key, bodies = t["key"].to_numpy(), t["body"].to_pylist()
+        key, part, bodies = t["key"].to_numpy(), t["part"].to_numpy(), t["body"].to_pylist()
+        ids, row, lo = (t[c].to_numpy() for c in ("doc_id", "row", "lo"))
+        group = np.cumsum(np.concatenate([[False], (key[1:] != key[:-1]) | (part[1:] != part[:-1])]))
         at = 0
-        while at < len(key):  # whole groups, some megabytes at a time
+        while at < len(key):  # whole groups, about a megabyte at a time
             size, to = 0, at
-            while to < len(key) and (size < 2 << 20 or key[to] == key[to - 1]):
+            while to < len(key) and (size < 1 << 20 or group[to] == group[to - 1]):
                 size += len(bodies[to])
                 to += 1
-            flags = merged_contexts(key[at:to], bodies[at:to], width)
-            ids, row, lo = (t[c].to_numpy()[at:to] for c in ("doc_id", "row", "lo"))
-            end = np.cumsum([len(x) for x in bodies[at:to]])
-            s, e = runs(flags)  # the last width - 1 bytes of a context start no window
-            c = np.searchsorted(end, s, "right")
-            base = lo[c] - np.concatenate([[0], end[:-1]])[c]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(ids[c]), pa.array(row[c]), pa.array((s + base).astype(np.int32)), pa.array((e + base + width - 1).astype(np.int32))],
-                names=["doc_id", "row", "first", "last"],
-            )
+            c, first, last, whole = merged_contexts(group[at:to], bodies[at:to], width)
+            c = c + at
+            n = pa.nulls(len(c), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(key[c]), pa.array(ids[c]), pa.array(row[c]), pa.array((lo[c] + first).astype(np.int32)), pa.array((lo[c] + last).astype(np.int32)), n], schema=MERGED)
+            if rest:
+                c = np.flatnonzero(~whole) + at
+                zero = np.zeros(len(c), np.int32)
+                yield pa.RecordBatch.from_arrays([pa.array(key[c]), pa.array(ids[c]), pa.array(row[c]), pa.array(lo[c]), pa.array(zero), pa.array([bodies[i] for i in c], pa.binary())], schema=MERGED)
             at = to
 
     held: list[pa.RecordBatch] = []
@@ -457,10 +466,10 @@ def _merge_batches(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa
         if not b.num_rows:
             continue
         if size > 8 << 20:
-            key = b["key"].to_numpy()
-            tail = held[-1]["key"][-1].as_py()
-            new = int(np.searchsorted(key, tail, "right"))
-            if new < len(key):
+            tail = (held[-1]["key"][-1].as_py(), held[-1]["part"][-1].as_py())
+            same = (b["key"].to_numpy() == tail[0]) & (b["part"].to_numpy() == tail[1])
+            new = len(same) if same.all() else int(np.argmin(same))
+            if new < len(same):
                 held.append(b.slice(0, new))
                 yield from out(held)
                 held, size, b = [], 0, b.slice(new)
@@ -470,6 +479,48 @@ def _merge_batches(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa
         yield from out(held)
 
 
+def _split_batches(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
+    """Contexts of hot keys (key, doc_id, row, lo, anchor, body), cut by the
+    offsets of their windows from the anchor; the bytes that all windows of STEP
+    offsets share make the new key, so equal windows still meet."""
+    for b in batches:
+        out: list[tuple] = []
+        for key, doc, row, lo, anchor, body in zip(*[b[c].to_pylist() for c in ("key", "doc_id", "row", "lo", "anchor", "body")]):
+            last = len(body) - width  # the context's windows start from 0 to here
+            for k in range((anchor - last) // STEP, anchor // STEP + 1):
+                s0, s1 = max(0, anchor - STEP * k - STEP + 1), min(last, anchor - STEP * k)
+                if s0 <= s1:
+                    core = body[anchor - STEP * k : anchor - STEP * k - STEP + 1 + width]
+                    new = hashlib.blake2b(core, digest_size=8, key=key.to_bytes(8, "little", signed=True), salt=k.to_bytes(4, "little", signed=True)).digest()
+                    out.append((int.from_bytes(new, "little", signed=True), doc, row, lo + s0, body[s0 : s1 + width]))
+        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary())
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out) if out else [[]] * 5, kinds)], names=["key", "doc_id", "row", "lo", "body"])
+
+
+def merged_shards(rows: DataFrame, width: int, hot_from: int = HOT) -> DataFrame:
+    """(doc_id, row, first, last): what repeats across shards."""
+    ctx = rows.where("kind = 1").select("key", "doc_id", "row", "lo", "anchor", "body")
+    order = ["key", "part", "doc_id", "row", "lo"]
+
+    def met(df: DataFrame, rest: bool) -> DataFrame:
+        return df.repartition("key", "part").sortWithinPartitions(*order).mapInArrow(lambda it: _merge_batches(it, width, rest), MERGED_ROWS)
+
+    ranges = ["doc_id", "row", "first", "last"]
+    hot = materialize(ctx.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > hot_from), "suffix-hot")
+    n_hot = hot.count()
+    whole = F.lit(0).alias("part")
+    if not n_hot:
+        return met(ctx.select(*order[:1], whole, *order[2:], "body"), False).select(*ranges)
+    few = F.broadcast(hot.select("key")) if n_hot <= 1_000_000 else hot.select("key")
+    cold = met(ctx.join(few, "key", "left_anti").select("key", whole, *order[2:], "body"), False)
+    cut = join_counted(ctx, hot, ["key"]).select("key", "doc_id", "row", "lo", "anchor", "body")
+    cut = cut.mapInArrow(lambda it: _split_batches(it, width), "key long, doc_id long, row long, lo int, body binary")
+    parts = cut.withColumn("part", F.pmod(F.xxhash64("doc_id", "row"), F.lit(PARTS)).cast("int"))
+    first = materialize(met(parts, True), "suffix-parts")
+    left = first.where("body IS NOT NULL").select("key", whole, "doc_id", "row", F.col("first").alias("lo"), "body")
+    return cold.select(*ranges).unionByName(first.where("body IS NULL").select(*ranges)).unionByName(met(left, False).select(*ranges))
+
+
 def _final_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         cols: dict[str, list] = {"doc_id": b["doc_id"].to_pylist(), "n_bytes": b["n_bytes"].to_pylist(), "n_removed": [], "n_spans": [], "sha": []}
@@ -484,24 +535,37 @@ def _final_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         yield pa.RecordBatch.from_pydict(cols, schema=pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("sha", pa.string())]))
 
 
-def suffix_dedup(docs: DataFrame, width: int = 100, shard_bytes: int = SHARD_BYTES) -> DataFrame:
+def suffix_dedup(docs: DataFrame, width: int = 100, shard_bytes: int = SHARD_BYTES, hot_from: int = HOT) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) of every row."""
     d = docs_of(docs).select(F.coalesce("doc_id", F.lit(LAST)).alias("doc_id"), "text")
+    if d.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").head(1):
+        # Ids do not tell rows apart: their texts' hashes do, and equal rows are seen to first.
+        digest = F.unhex(F.md5("text")).alias("digest")
+        d = materialize(d.select(F.monotonically_increasing_id().alias("uid"), F.col("doc_id").alias("ord"), "doc_id", "text", F.shiftrightunsigned(F.xxhash64("text"), 1).alias("row"), digest), "suffix-texts")
+        copies = repeated_rows(d.select("uid", "ord", "digest"))
+        again = None if copies is None else d.join(copies, "uid", "left_semi").select("doc_id", "text")
+        d = (d if copies is None else d.join(copies, "uid", "left_anti")).select("doc_id", "row", "text")
+    else:
+        d, again = d.withColumn("row", F.lit(0).cast("long")), None
     total = d.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     shards = max(1, -(-total // shard_bytes))
-    d = d.withColumn("shard", F.pmod(F.xxhash64("doc_id"), F.lit(shards)).cast("int"))
+    d = d.withColumn("shard", F.pmod(F.xxhash64("doc_id", "row"), F.lit(shards)).cast("int"))
     named = d.select("shard", "text").mapInArrow(lambda it: _key_batches(it, width), "key long, shard int, n byte")
     keys = named.repartition("key").sortWithinPartitions("key", "shard").mapInArrow(_repeated_batches, "shard int, key long, across boolean")
     rows = d.groupBy("shard").cogroup(keys.groupBy("shard")).applyInArrow(lambda a, b: shard_rows(a, b, width), SHARD_ROWS)
     rows = materialize(rows, "suffix-shards")
-    ctx = rows.where("kind = 1").select("key", "doc_id", "row", "lo", "body")
-    far = ctx.repartition("key").sortWithinPartitions("key", "doc_id", "row", "lo").mapInArrow(lambda it: _merge_batches(it, width), "doc_id long, row int, first int, last int")
+    far = merged_shards(rows, width, hot_from)
     far = far.groupBy("doc_id", "row").agg(F.collect_list(F.struct("first", "last")).alias("more"))
     one = rows.where("kind = 0")
     done = one.where("sha IS NOT NULL").select("doc_id", "n_bytes", "n_removed", "n_spans", "sha")
     waits = one.where("sha IS NULL").select("doc_id", "row", "n_bytes", "spans", "body").join(far, ["doc_id", "row"], "left")
     last = waits.select("doc_id", "n_bytes", "spans", "body", "more").mapInArrow(_final_batches, "doc_id long, n_bytes long, n_removed long, n_spans long, sha string")
     both = done.unionByName(last)
+    if again is not None:
+        n, long = F.octet_length("text").cast("long"), F.octet_length("text") >= width
+        both = both.unionByName(
+            again.select("doc_id", n.alias("n_bytes"), F.when(long, n).otherwise(0).alias("n_removed"), F.when(long, 1).otherwise(0).cast("long").alias("n_spans"), F.sha2(F.when(long, "").otherwise(F.col("text")), 256).alias("sha"))
+        )
     return both.select(F.when(F.col("doc_id") != LAST, F.col("doc_id")).alias("doc_id"), "n_bytes", "n_removed", "n_spans", F.col("sha").alias("kept_sha256"))
 
 
