@@ -79,9 +79,9 @@ def test_exact_dedup(docs, empty, spill):
     assert exact_dedup.exact_dedup(empty).count() == 0
 
 
-@pytest.mark.parametrize("shard", [1 << 22, 200])
-def test_suffix_dedup(docs, empty, shard):
-    got = {r.doc_id: r for r in suffix_dedup.suffix_dedup(docs, shard_bytes=shard).collect()}
+@pytest.mark.parametrize(("shard", "hot"), [(1 << 22, 4096), (200, 4096), (200, 1)])
+def test_suffix_dedup(docs, empty, shard, hot):
+    got = {r.doc_id: r for r in suffix_dedup.suffix_dedup(docs, shard_bytes=shard, hot_from=hot).collect()}
     seen = set()
     for i, t in sorted(ROWS, key=lambda x: (x[0] is None, x[0])):
         t = (t or "").encode()
@@ -136,16 +136,20 @@ def test_secret_cut_counts_tokens_once(spark):
     def cut(rows):  # (stratum, bin, token, copies)
         one = lambda s, b, t: (s, b, t.encode())
         data = [([one(s, b, t)] * n,) for s, b, t, n in rows]
-        return secret_scan.false_discovery_cuts(spark.createDataFrame(data, "cand array<struct<stratum:int,bin:int,digest:binary>>"), 0.05)
-
-    assert cut([(8, 30, "lone", 1000)])[8] <= 30
-    ordinary = [(8, 0, f"plain {k}", 1) for k in range(5000)]
-    assert cut([*ordinary, (8, 60, "copied", 10_000)])[8] > 0
-    even = [(8, k % 100, f"even {k}", 1) for k in range(500)]
-    assert cut(even)[8] == cut([*even, (8, 40, "copied", 1000)])[8] == 0
-    # A small stratum follows the next length, not another encoding.
-    got = cut([*ordinary, (9, 30, "long", 1), (72, 0, "other", 1)])
-    assert (got[9], got[72]) == (got[8], secret_scan.LEVEL)
+        return secret_scan.false_discovery_cuts(spark.createDataFrame(data, "r array<struct<stratum:int,bin:int,digest:binary>>"), 0.05)
+
+    m = 64  # strata from 64 to 127 mix letters and digits
+    assert cut([(m + 8, 30, "lone", 1000)])[m + 8] <= 30
+    ordinary = [(m + 8, 0, f"plain {k}", 1) for k in range(5000)]
+    assert cut([*ordinary, (m + 8, 60, "copied", 10_000)])[m + 8] > 0
+    even = [(m + 8, k % 100, f"even {k}", 1) for k in range(500)]
+    assert cut(even)[m + 8] == cut([*even, (m + 8, 40, "copied", 1000)])[m + 8] == 0
+    # A small stratum is cut with the next length's tokens beside its own, not with another encoding's.
+    got = cut([*ordinary, (m + 9, 30, "long", 1), (3 * m, 0, "other", 1), (0, 99, "words", 1)])
+    assert (got[m + 8], got[m + 9], got[3 * m], got[0]) == (secret_scan.BINS, 1, secret_scan.LEVEL, secret_scan.BINS)
+    # Ordinary tokens alone, thinning out over all bins: nothing is reported.
+    thin = [(m + 8, b, f"thin {b} {k}", 1) for b in range(100) for k in range(int(400 * 0.96**b))]
+    assert cut(thin)[m + 8] == secret_scan.BINS
 
 
 def test_lone_secrets_are_reported(spark):

@@ -33,11 +33,12 @@ def test_group_edges_connect_what_links(n, flips):
     assert (simhash.joined(np.arange(len(fps)), i, j) == brute(fps)).all()
 
 
-def test_tiles_lose_no_link(spark, monkeypatch):
-    """A bucket cut into many tiles gives the same classes."""
+@pytest.mark.parametrize("dense", [8, 32, 1 << 20])
+def test_dense_buckets_lose_no_link(spark, monkeypatch, dense):
+    """Buckets cut by further bits, once or twice, give the same classes."""
     fps = scattered(400, 6)
-    monkeypatch.setattr(simhash, "TILE", 32)
-    rows = spark.createDataFrame([(int(x),) for x in fps.view(np.int64)], "fp long")
+    monkeypatch.setattr(simhash, "DENSE", dense)
+    rows = spark.createDataFrame([(0, int(x)) for x in fps.view(np.int64)], "g int, fp long")
     place = {int(x): i for i, x in enumerate(fps.view(np.int64))}
     got = simhash.fingerprint_edges(rows).collect()
     i, j = (np.array([place[r[k]] for r in got], np.int64) for k in ("src", "dst"))
