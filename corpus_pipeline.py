@@ -4,6 +4,13 @@ Each stage takes (spark, docs, sf_dir), works on all that the one before kept,
 and returns the columns of ``documents``, but for the last, which returns each
 row's shard.  ``run`` writes every stage's rows as Parquet in the shared folder
 and reads them again, so a lost executor costs one stage at most.
+
+Cases, for every stage: a null or empty text is a row like any other (not
+toxic, no item in it; all empty texts are near copies of one another); rows are
+judged one by one, so null and shared doc_ids do no harm; of equal rows one
+stays; very long texts are read whole; where rows tie, doc_id and then the
+text's hash decide; columns besides those of ``documents`` are left behind, and
+an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -16,31 +23,30 @@ from spotgrain.llm.decontaminate import decontaminate
 from spotgrain.llm.mixing import mix
 from spotgrain.llm.sharding import shard_result
 from spotgrain.llm.simhash import near_dedup
-from spotgrain.llm.toxicity import toxicity_scores, train
+from spotgrain.llm.toxicity import toxicity_score, train
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the model calls toxic go."""
+    """Rows that the model calls toxic go."""
     model = train(docs, table(spark, sf_dir, "labels"))
-    bad = toxicity_scores(docs, model).where(F.col("score") >= 0.5).select(F.col("doc_id").alias("bad_id")).distinct()
-    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("bad_id")), "left_anti").select(*COLUMNS)
+    return docs.where(toxicity_score(spark, model)(F.col("text")) < 0.5).select(*COLUMNS)
 
 
 def simhash(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the smallest id stays."""
+    """Of near copies (five-word Jaccard of 0.8 and more) the first row stays."""
     return near_dedup(docs).select(*COLUMNS)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a benchmark item go."""
+    """Rows with a benchmark item, or a long passage of one, go."""
     return decontaminate(docs, table(spark, sf_dir, "benchmark")).select(*COLUMNS)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sources at their tempered weights: rows of small ones come again."""
-    return mix(docs, columns=COLUMNS).select(*COLUMNS)
+    return mix(docs, columns=COLUMNS, slots=False).select(*COLUMNS)
 
 
 def sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
