@@ -218,6 +218,9 @@ def larsson_sadakane(data: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarr
         size = np.bincount(group)
         h *= 2
         if h >= depth:
+            # Suffixes that are still one group, in the order of their places: neighbours then stay neighbours a byte on.
+            key = np.sort((rank[s] << 32) | s)
+            sa[half] = key & 0xFFFFFFFF
             return sa, half
         slots = slots[size[group] > 1]
 
