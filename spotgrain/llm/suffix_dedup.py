@@ -17,10 +17,11 @@ earlier (smaller doc_id, or earlier in the same document).
    the others are put in one suffix order by their bytes; of equal neighbours
    the first in the corpus stays.  A shard sends a passage once, however often
    it holds it.
-4. The text around a hot anchor (over HOT contexts, such as a stock line amid
-   differing text) is dealt by finer keys: windows are taken STEP offsets
-   together, and the bytes that all of these share join the key.  Each part of
-   a hot key first drops what repeats in it, and the rest of the parts meets.
+4. The text around a hot anchor (over HOT contexts) is dealt in parts, each of
+   which drops what repeats in it, before the rest of the parts meets.  Where
+   the rest is as much again, such as a stock line amid differing text, it is
+   dealt by finer keys: windows are taken STEP offsets together, and the bytes
+   that all of these share join the key.
 
 Cases: a null or empty text, and one under 100 bytes, keeps all; rows that
 share a doc_id are ordered by a 63-bit hash of their texts, and of equal rows
@@ -48,7 +49,7 @@ PIECE = 1 << 20
 #: A block of rows, or a piece of one, has no more bytes than 2 to that.
 PLACE_BITS = 22
 #: Contexts of an anchor from which it is hot; offsets of a hot key's windows that go together; its parts.
-HOT, STEP, PARTS = 4096, 4, 64
+HOT, STEP, PARTS = 1024, 4, 64
 
 
 def _splitmix(x: np.ndarray) -> np.ndarray:
@@ -433,19 +434,19 @@ def merged_contexts(group: np.ndarray, bodies: list[bytes], width: int) -> tuple
     )
 
 
-MERGED = pa.schema([("key", pa.int64()), ("doc_id", pa.int64()), ("row", pa.int64()), ("first", pa.int32()), ("last", pa.int32()), ("body", pa.binary())])
-MERGED_ROWS = "key long, doc_id long, row long, first int, last int, body binary"
+MERGED = pa.schema([("key", pa.int64()), ("doc_id", pa.int64()), ("row", pa.int64()), ("first", pa.int32()), ("last", pa.int32()), ("anchor", pa.int32()), ("body", pa.binary())])
+MERGED_ROWS = "key long, doc_id long, row long, first int, last int, anchor int, body binary"
 
 
 def _merge_batches(batches: Iterator[pa.RecordBatch], width: int, rest: bool = False) -> Iterator[pa.RecordBatch]:
-    """Contexts (key, part, doc_id, row, lo, body) sorted by these, to the
+    """Contexts (key, part, doc_id, row, lo, anchor, body) sorted by these, to the
     ranges that repeat (body null); with ``rest`` also the contexts that have
     anything new (body set, first is lo)."""
 
     def out(rows: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t = pa.Table.from_batches(rows)
         key, part, bodies = t["key"].to_numpy(), t["part"].to_numpy(), t["body"].to_pylist()
-        ids, row, lo = (t[c].to_numpy() for c in ("doc_id", "row", "lo"))
+        ids, row, lo, anchor = (t[c].to_numpy() for c in ("doc_id", "row", "lo", "anchor"))
         group = np.cumsum(np.concatenate([[False], (key[1:] != key[:-1]) | (part[1:] != part[:-1])]))
         at = 0
         while at < len(key):  # whole groups, about a megabyte at a time
@@ -456,11 +457,11 @@ def _merge_batches(batches: Iterator[pa.RecordBatch], width: int, rest: bool = F
             c, first, last, whole = merged_contexts(group[at:to], bodies[at:to], width)
             c = c + at
             n = pa.nulls(len(c), pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(key[c]), pa.array(ids[c]), pa.array(row[c]), pa.array((lo[c] + first).astype(np.int32)), pa.array((lo[c] + last).astype(np.int32)), n], schema=MERGED)
+            yield pa.RecordBatch.from_arrays([pa.array(key[c]), pa.array(ids[c]), pa.array(row[c]), pa.array((lo[c] + first).astype(np.int32)), pa.array((lo[c] + last).astype(np.int32)), pa.array(anchor[c]), n], schema=MERGED)
             if rest:
                 c = np.flatnonzero(~whole) + at
                 zero = np.zeros(len(c), np.int32)
-                yield pa.RecordBatch.from_arrays([pa.array(key[c]), pa.array(ids[c]), pa.array(row[c]), pa.array(lo[c]), pa.array(zero), pa.array([bodies[i] for i in c], pa.binary())], schema=MERGED)
+                yield pa.RecordBatch.from_arrays([pa.array(key[c]), pa.array(ids[c]), pa.array(row[c]), pa.array(lo[c]), pa.array(zero), pa.array(anchor[c]), pa.array([bodies[i] for i in c], pa.binary())], schema=MERGED)
             at = to
 
     held: list[pa.RecordBatch] = []
@@ -495,33 +496,48 @@ def _split_batches(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa
                 if s0 <= s1:
                     core = body[anchor - STEP * k : anchor - STEP * k - STEP + 1 + width]
                     new = hashlib.blake2b(core, digest_size=8, key=key.to_bytes(8, "little", signed=True), salt=k.to_bytes(4, "little", signed=True)).digest()
-                    out.append((int.from_bytes(new, "little", signed=True), doc, row, lo + s0, body[s0 : s1 + width]))
-        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary())
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out) if out else [[]] * 5, kinds)], names=["key", "doc_id", "row", "lo", "body"])
+                    out.append((int.from_bytes(new, "little", signed=True), doc, row, lo + s0, anchor - s0, body[s0 : s1 + width]))
+        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out) if out else [[]] * 6, kinds)], names=["key", "doc_id", "row", "lo", "anchor", "body"])
 
 
 def merged_shards(rows: DataFrame, width: int, hot_from: int = HOT) -> DataFrame:
     """(doc_id, row, first, last): what repeats across shards."""
-    ctx = rows.where("kind = 1").select("key", "doc_id", "row", "lo", "anchor", "body")
-    order = ["key", "part", "doc_id", "row", "lo"]
-
-    def met(df: DataFrame, rest: bool) -> DataFrame:
-        return df.repartition("key", "part").sortWithinPartitions(*order).mapInArrow(lambda it: _merge_batches(it, width, rest), MERGED_ROWS)
-
-    ranges = ["doc_id", "row", "first", "last"]
-    hot = materialize(ctx.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > hot_from), "suffix-hot")
-    n_hot = hot.count()
-    whole = F.lit(0).alias("part")
-    if not n_hot:
-        return met(ctx.select(*order[:1], whole, *order[2:], "body"), False).select(*ranges)
-    few = F.broadcast(hot.select("key")) if n_hot <= 1_000_000 else hot.select("key")
-    cold = met(ctx.join(few, "key", "left_anti").select("key", whole, *order[2:], "body"), False)
-    cut = join_counted(ctx, hot, ["key"]).select("key", "doc_id", "row", "lo", "anchor", "body")
-    cut = cut.mapInArrow(lambda it: _split_batches(it, width), "key long, doc_id long, row long, lo int, body binary")
-    parts = cut.withColumn("part", F.pmod(F.xxhash64("doc_id", "row"), F.lit(PARTS)).cast("int"))
-    first = materialize(met(parts, True), "suffix-parts")
-    left = first.where("body IS NOT NULL").select("key", whole, "doc_id", "row", F.col("first").alias("lo"), "body")
-    return cold.select(*ranges).unionByName(first.where("body IS NULL").select(*ranges)).unionByName(met(left, False).select(*ranges))
+    ranges, fields = ["doc_id", "row", "first", "last"], ["key", "doc_id", "row", "lo", "anchor", "body"]
+
+    def met(df: DataFrame, part=None) -> DataFrame:
+        """What repeats where all of a key, or a part of it, meets; of parts
+        also what they have that is new, in a written table."""
+        rest = part is not None
+        dealt = df.withColumn("part", F.lit(0) if part is None else part).repartition("key", "part")
+        out = dealt.sortWithinPartitions("key", "part", "doc_id", "row", "lo").mapInArrow(lambda it: _merge_batches(it, width, rest), MERGED_ROWS)
+        return out if not rest else materialize(out, "suffix-parts")
+
+    def hot_of(df: DataFrame) -> tuple[DataFrame | None, DataFrame]:
+        """The contexts of hot keys, if any, and the others."""
+        hot = materialize(df.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > hot_from), "suffix-hot")
+        n = hot.count()
+        few = F.broadcast(hot.select("key")) if n <= 1_000_000 else hot.select("key")
+        return (join_counted(df, hot, ["key"]).select(*fields), df.join(few, "key", "left_anti")) if n else (None, df)
+
+    def again(df: DataFrame) -> DataFrame:
+        return df.where("body IS NOT NULL").select("key", "doc_id", "row", F.col("first").alias("lo"), "anchor", "body")
+
+    part = F.pmod(F.xxhash64("doc_id", "row"), F.lit(PARTS)).cast("int")
+    hot, cold = hot_of(rows.where("kind = 1").select(*fields))
+    found = [met(cold)]
+    if hot is not None:
+        first = met(hot, part)
+        hot, cold = hot_of(again(first))
+        found += [first.where("body IS NULL"), met(cold)]
+    if hot is not None:
+        cut = hot.mapInArrow(lambda it: _split_batches(it, width), "key long, doc_id long, row long, lo int, anchor int, body binary")
+        first = met(cut, part)
+        found += [first.where("body IS NULL"), met(again(first))]
+    out = found[0].select(*ranges)
+    for x in found[1:]:
+        out = out.unionByName(x.select(*ranges))
+    return out
 
 
 def _final_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
