@@ -9,8 +9,9 @@ the chunks that go is looked up in the same way.  So of a run of two lines and
 more that occurs more than once in the corpus all lines go, but for the first
 occurrence (smallest doc_id, then first line).  A chunk or window that overlaps
 its own first occurrence stays.  Whether two of them are equal is decided on
-their bytes: they are grouped by their whole text; hashes only say which need
-that, and a SHA-256 carries the verdict back.
+their bytes: they are grouped by their whole text; hashes (SHA-256 for chunks)
+only say which need that, and a SHA-256 carries the verdict back.  Texts are
+exchanged once, for chunks and windows together.
 
 Cases: a null or empty text has no window of two lines; each row is judged on
 its own, rows that share a doc_id in the order of their texts' hashes, null
@@ -47,19 +48,22 @@ def lined(docs: DataFrame, min_lines: int = 2) -> DataFrame:
 
 
 def line_chunks(rows: DataFrame, min_lines: int = 2, mean_lines: int = MEAN_LINES) -> DataFrame:
-    """(uid, first, last, h) of the content-defined chunks of min_lines lines
-    and more; a chunk ends before a line where the rolling hash says so."""
+    """(uid, first, last, place, h) of the content-defined chunks of min_lines
+    lines and more; a chunk ends before a line where the rolling hash says so.
+    h is the SHA-256 of its text."""
     n = F.col("n_lines").cast("int")
     cuts = F.filter(F.sequence(F.lit(1), n - 1), lambda i: F.pmod(F.get("h", i - 1), F.lit(mean_lines)) == 0)
-    d = rows.where("h IS NOT NULL").select("uid", "lines", F.concat(F.array(F.lit(0)), cuts).alias("a"), F.concat(cuts, F.array(n)).alias("b"))
-    d = d.select("uid", "lines", F.explode(F.arrays_zip("a", "b")).alias("x")).where(F.col("x.b") - F.col("x.a") >= min_lines)
-    return d.select("uid", F.col("x.a").alias("first"), F.col("x.b").alias("last"), F.xxhash64(F.slice("lines", F.col("x.a") + 1, F.col("x.b") - F.col("x.a"))).alias("h"))
+    d = rows.where("h IS NOT NULL").select("uid", "ord", "th", "lines", F.concat(F.array(F.lit(0)), cuts).alias("a"), F.concat(cuts, F.array(n)).alias("b"))
+    long = F.filter(F.arrays_zip("a", "b"), lambda x: x["b"] - x["a"] >= min_lines)
+    named = F.transform(long, lambda x: F.struct(x["a"].alias("first"), x["b"].alias("last"), F.unhex(F.sha2(F.array_join(F.slice("lines", x["a"] + 1, x["b"] - x["a"]), "\n"), 256)).alias("h")))
+    d = d.select("uid", "ord", "th", F.explode(named).alias("x"))
+    return d.select("uid", "x.first", "x.last", "x.h", "ord", "th").select("uid", "first", "last", "h", place_of("first").alias("place"))
 
 
 def line_windows(rows: DataFrame, gone: DataFrame, min_lines: int = 2) -> DataFrame:
     """(uid, first, last, h) of the windows that are in no chunk of ``gone``
     (uid, at): what is in one has an earlier copy, and is no first occurrence."""
-    d = rows.where("h IS NOT NULL").select("uid", "h").join(gone, "uid", "left")
+    d = rows.where("h IS NOT NULL").select("uid", "h").join(gone.hint("merge"), "uid", "left")
     inside = F.flatten(F.transform("at", lambda x: F.sequence(x["first"], x["last"] - min_lines)))
     # A hash set, not a search for each window.
     left = F.array_except(F.sequence(F.lit(0), F.size("h") - 1), F.coalesce(inside, F.array().cast("array<int>")))
@@ -67,12 +71,24 @@ def line_windows(rows: DataFrame, gone: DataFrame, min_lines: int = 2) -> DataFr
     return d.select("uid", "x.first", (F.col("x.first") + min_lines).alias("last"), "x.h")
 
 
-def later_copies(rows: DataFrame, pieces: DataFrame) -> DataFrame:
-    """(uid, at: array of first, last), a written table: the pieces (uid,
-    first, last, h) whose text an earlier place holds."""
-    again = materialize(pieces.groupBy("h").agg(F.count("*").alias("n")).where("n > 1"), "line-hashes")
-    hit = join_counted(pieces, again, ["h"]).groupBy("uid").agg(F.collect_list(F.struct("first", "last")).alias("at"))
-    d = rows.select("uid", "ord", "th", "lines").join(materialize(hit, "line-hits"), "uid")
+def at_of(pieces: DataFrame) -> DataFrame:
+    return pieces.groupBy("uid").agg(F.array_sort(F.collect_list(F.struct("first", "last"))).alias("at"))
+
+
+def repeated(pieces: DataFrame, *more) -> DataFrame:
+    """Those of a hash that comes more than once."""
+    again = materialize(pieces.groupBy("h").agg(F.count("*").alias("n"), *more).where("n > 1"), "line-hashes")
+    return join_counted(pieces, again, ["h"])
+
+
+def later_copies(rows: DataFrame, min_lines: int = 2) -> DataFrame:
+    """(uid, at: array of first, last), a written table: the chunks and windows
+    whose text an earlier place holds."""
+    chunks = materialize(repeated(line_chunks(rows, min_lines), F.min("place").alias("owner")).select("uid", "first", "last", (F.col("place") - F.col("owner") >= F.col("last") - F.col("first")).alias("later")), "line-chunks")
+    windows = repeated(line_windows(rows, at_of(chunks.where("later")), min_lines))
+    hit = at_of(chunks.select("uid", "first", "last").unionByName(windows.select("uid", "first", "last")))
+    # The one exchange of texts.
+    d = rows.select("uid", "ord", "th", "lines").join(hit.hint("merge"), "uid")
     text = F.transform("at", lambda x: F.struct(x["first"].alias("first"), x["last"].alias("last"), F.array_join(F.slice("lines", x["first"] + 1, x["last"] - x["first"]), "\n").alias("text")))
     d = d.select("uid", "ord", "th", F.explode(text).alias("x")).select("uid", "ord", "th", "x.first", "x.last", "x.text")
     written = materialize(d, "line-pieces")
@@ -84,8 +100,8 @@ def later_copies(rows: DataFrame, pieces: DataFrame) -> DataFrame:
     by_name = materialize(by_name.where("texts = 1").select("digest", "copies", "owner"), "line-owners")
     occ = written.select("uid", "first", "last", place.alias("place"), name)
     later = join_counted(occ, by_name, ["digest"], "copies").where(F.col("place") - F.col("owner") >= F.col("last") - F.col("first"))
-    out = materialize(later.groupBy("uid").agg(F.array_sort(F.collect_list(F.struct("first", "last"))).alias("at")), "line-copies")
-    release(again, written, by_name)
+    out = materialize(at_of(later), "line-copies")
+    release(chunks, written, by_name)
     return out
 
 
@@ -94,9 +110,7 @@ def removed_lines(rows: DataFrame, min_lines: int = 2) -> DataFrame:
     rows with any."""
     copies = repeated_rows(rows.select("uid", "ord", "digest"))
     own = rows if copies is None else rows.join(copies, "uid", "left_anti")
-    chunks = later_copies(own, line_chunks(own, min_lines))
-    windows = later_copies(own, line_windows(own, chunks, min_lines))
-    both = chunks.unionByName(windows).groupBy("uid").agg(F.array_sort(F.flatten(F.collect_list("at"))).alias("at"))
+    both = later_copies(own, min_lines)
     # No piece is inside of another, so both ends are in order; those that overlap or touch are one range.
     begins = F.filter("at", lambda x, i: (i == 0) | (x["first"] > F.get("at", i - 1)["last"]))
     ends = F.filter("at", lambda x, i: (i == F.size("at") - 1) | (F.get("at", i + 1)["first"] > x["last"]))
