@@ -163,7 +163,7 @@ class Landmarks:
         order = np.argsort(own, kind="stable")
         r, own, w = r[order], own[order], w[order]
         out = np.zeros((len(words), len(self.words)), np.float32)
-        part = max(1000, 8_000_000 // max(1, len(self.words)))  # a few dozen MB at a time
+        part = max(1000, 2_000_000 // max(1, len(self.words)))  # a few MB at a time
         at = 0
         while at < len(r):
             to = min(at + part, len(r))
@@ -177,7 +177,7 @@ class Landmarks:
         return out / np.sqrt(self_value(np.array([len(x) for x in words]))).astype(np.float32)[:, None]
 
 
-def choose_landmarks(docs: list[set[str]], labels: np.ndarray, s: Settings) -> tuple[list[str], dict[str, float], list[str]]:
+def choose_landmarks(docs: list[list[str]], labels: np.ndarray, s: Settings) -> tuple[list[str], dict[str, float], list[str]]:
     """(landmarks, scores, telling words).  Scores are signed chi-squared of
     label and presence; landmarks the best, each with a kernel under 0.8 to
     those before, then random words."""
@@ -195,7 +195,7 @@ def choose_landmarks(docs: list[set[str]], labels: np.ndarray, s: Settings) -> t
     scores = {w: score(w) for w in count[1]}
     words = sorted((w for w in scores if s.letters[0] <= len(w) <= s.letters[1] and count[1][w] >= 2), key=lambda w: (-scores[w], w))[: s.candidates]
     chosen: list[int] = []
-    alike = Landmarks(words).kernel(words) if words else np.zeros((0, 0))
+    alike = Landmarks(words).kernel(words) if words else np.zeros((0, 0), np.float32)
     for i in range(len(words)):
         if len(chosen) < s.landmarks and (not chosen or alike[i, chosen].max() < 0.8):
             chosen.append(i)
@@ -211,7 +211,7 @@ def linear_svm(x: np.ndarray, y: np.ndarray, cost: float = 12.0, rounds: int = 4
     fewer examples of class 1 weigh five times as much."""
     n = len(y)
     upper = np.where(y > 0, 5 * cost, cost)
-    square = (x * x).sum(1) + 1e-12
+    square = np.einsum("ij,ij->i", x, x) + 1e-12
     alpha, w, rng = np.zeros(n), np.zeros(x.shape[1]), np.random.default_rng(seed)
     for _ in range(rounds):
         moved = 0.0
@@ -258,7 +258,7 @@ def train_model(words: list[list[str]], labels: np.ndarray, s: Settings = Settin
     fit = np.arange(len(words)) % 5 != 4
     if len(set(labels[fit].tolist())) < 2 or len(set(labels[~fit].tolist())) < 2:
         fit = np.ones(len(words), bool)
-    marks, scores, sure = choose_landmarks([set(w) for w, f in zip(words, fit) if f], labels[fit], s)
+    marks, scores, sure = choose_landmarks([w for w, f in zip(words, fit) if f], labels[fit], s)
     toxic = [w for w, f, y in zip(words, fit, labels) if f and y and w]
     clean = sorted({w for ws, f, y in zip(words, fit, labels) if f and not y for w in ws})
     if not marks or not toxic or not clean:
@@ -267,7 +267,7 @@ def train_model(words: list[list[str]], labels: np.ndarray, s: Settings = Settin
     k = landmarks.kernel(marks).astype(float)
     value, vector = np.linalg.eigh((k + k.T) / 2)
     keep = value > 1e-3 * value.max()
-    nystroem = (vector[:, keep] / np.sqrt(value[keep])) @ vector[:, keep].T
+    nystroem = ((vector[:, keep] / np.sqrt(value[keep])) @ vector[:, keep].T).astype(np.float32)
     rng = np.random.default_rng(s.seed)
     negative = {clean[i] for i in rng.permutation(len(clean))[: s.negatives]}
     pick = {w: scores.get(w, -9.0) for ws in toxic for w in ws}
@@ -275,7 +275,9 @@ def train_model(words: list[list[str]], labels: np.ndarray, s: Settings = Settin
     for _ in range(s.rounds):
         positive = sorted({max(ws, key=lambda w: (pick[w], w)) for ws in toxic} | set(sure))
         some = positive + sorted(negative - set(positive))
-        z = np.concatenate([landmarks.kernel(some) @ nystroem, np.ones((len(some), 1))], 1)
+        z = np.ones((len(some), len(marks) + 1), np.float32)
+        for i in range(0, len(some), 2000):
+            z[i : i + 2000, :-1] = landmarks.kernel(some[i : i + 2000]) @ nystroem
         y = np.where(np.arange(len(some)) < len(positive), 1.0, -1.0)
         w = linear_svm(z, y, s.cost)
         model["table"][:] = 0
@@ -295,7 +297,7 @@ def train_model(words: list[list[str]], labels: np.ndarray, s: Settings = Settin
 
 def word_values(model: dict, words: list[str]) -> np.ndarray:
     """Of words as ``words_of`` gives them."""
-    out = [text_values(model, "  ".join(words[i : i + 50_000]))[0] for i in range(0, len(words), 50_000)]
+    out = [text_values(model, "  ".join(words[i : i + 10_000]))[0] for i in range(0, len(words), 10_000)]
     return np.concatenate(out) if out else np.zeros(0)
 
 
@@ -393,7 +395,8 @@ def train(texts: DataFrame, labels: DataFrame, settings: Settings = Settings())
     taken = {(x.doc_id, x.h) for x, t in zip(sizes, total) if t <= settings.max_words}
     keys = F.broadcast(rows.sparkSession.createDataFrame(sorted(taken), "i long, h long"))
     rows = rows.join(keys, (F.col("doc_id") == F.col("i")) & (F.xxhash64("doc_id", "words") == F.col("h")), "left_semi")
-    rows = sorted((x.doc_id, x.toxic, x.words) for x in rows.collect())
+    names: dict[str, str] = {}  # one object for each different word
+    rows = sorted((x.doc_id, x.toxic, [names.setdefault(w, w) for w in x.words]) for x in rows.toLocalIterator())
     return train_model([x[2] for x in rows], np.array([x[1] for x in rows], float), settings)
 
 
