@@ -58,6 +58,8 @@ DENSE = 8192
 #: Word fingerprints of ``near_dedup``, and centres of a component in its first round.
 TABLES, CENTRES = 6, 32
 WIDTH, SIMILAR = 5, 0.8
+#: Rows of a component that are compared with its centres in one task.
+PART_ROWS = 256
 #: Up to so many row numbers (some MB) are broadcast; of more, an exchange joins them.
 BROADCAST_ROWS = 1_000_000
 
@@ -458,7 +460,7 @@ def near_dedup(docs: DataFrame, width: int = WIDTH, similar: float = SIMILAR, pa
         ranked = left.withColumn("rank", F.row_number().over(Window.partitionBy("component").orderBy("ord", "th", "uid"))).where(F.col("rank") <= centres)
         first = materialize(ranked.select("uid", "component", "rank"), "simhash-centres")
         size = left.groupBy("component").agg(F.sum(F.octet_length("text").cast("long") + 64).alias("bytes"), F.count("*").alias("n"))
-        size = materialize(size.select("component", "n", F.ceil(F.col("bytes") / part_bytes).cast("int").alias("salts")), "simhash-sizes")
+        size = materialize(size.select("component", "n", F.greatest(F.ceil(F.col("bytes") / part_bytes), F.ceil(F.col("n") / PART_ROWS)).cast("int").alias("salts")), "simhash-sizes")
         n_first = first.count()
         named = left.join(F.broadcast(first.drop("component")) if n_first <= BROADCAST_ROWS else first.drop("component"), "uid", "left")
         named = join_counted(named, size, ["component"]).withColumn("rank", F.coalesce("rank", F.lit(0)))
