@@ -14,8 +14,10 @@ def interval_join(points: DataFrame, at: str, ranges: DataFrame, start: str, end
     return p.join(r, "ij_b").where((F.col(at) >= F.col(start)) & (F.col(at) < F.col(end))).drop("ij_b")
 
 
-def overlap(members: DataFrame, group: str, item: str, max_items: int | None = None) -> DataFrame:
-    """Pairs of groups that share items: (a, b, common, overlap coefficient)."""
+def overlap(members: DataFrame, group: str, item: str) -> DataFrame:
+    """Pairs of groups that share items: (a, b, common, overlap coefficient).
+    An item makes a row for each pair of its groups: it is for some dozen
+    groups, such as the probe barcodes of a run, whose pairs are the result."""
     m = members.select(F.col(group).alias("g"), F.col(item).alias("i")).distinct()
     size = m.groupBy("g").agg(F.count("*").alias("n"))
     pair = m.select(F.col("g").alias("a"), "i").join(m.select(F.col("g").alias("b"), "i"), "i").where("a < b").groupBy("a", "b").agg(F.count("*").alias("common"))
@@ -23,14 +25,16 @@ def overlap(members: DataFrame, group: str, item: str, max_items: int | None = N
     return pair.select("a", "b", "common", (F.col("common") / F.least("na", "nb")).alias("overlap"))
 
 
-def last_before(left: DataFrame, right: DataFrame, key: str, at: str, value: str) -> DataFrame:
+def last_before(left: DataFrame, right: DataFrame, key: str, at: str, value: str, tie: str) -> DataFrame:
     """As-of join: to each left row the latest right ``value`` of its key at or
-    before it, by one sort of both sides instead of a range join."""
-    both = left.select(key, at, F.lit(None).cast(dict(right.dtypes)[value]).alias(value), F.lit(1).alias("is_left"), F.struct(*left.columns).alias("row")).unionByName(
-        right.select(key, at, value, F.lit(0).alias("is_left")), allowMissingColumns=True
-    )
-    w = Window.partitionBy(key).orderBy(at, "is_left").rowsBetween(Window.unboundedPreceding, 0)
-    return both.withColumn("asof", F.last(value, ignorenulls=True).over(w)).where("is_left = 1").select("row.*", F.col("asof").alias(f"last_{value}"))
+    before it (of equal times the one with the highest ``tie``), by one sort of
+    both sides instead of a range join."""
+    side = lambda df, v, t, is_left, row: df.select(F.col(key).alias("k"), F.col(at).alias("at"), v.alias("v"), t.alias("t"), F.lit(is_left).alias("is_left"), row.alias("row"))
+    kind = left.select(F.struct(*left.columns).alias("row")).schema["row"].dataType
+    none = lambda c: F.lit(None).cast(dict(right.dtypes)[c])
+    both = side(left, none(value), none(tie), 1, F.struct(*left.columns)).unionByName(side(right, F.col(value), F.col(tie), 0, F.lit(None).cast(kind)))
+    w = Window.partitionBy("k").orderBy("at", "is_left", "t").rowsBetween(Window.unboundedPreceding, 0)
+    return both.withColumn("asof", F.last("v", ignorenulls=True).over(w)).where("is_left = 1").select("row.*", F.col("asof").alias(f"last_{value}"))
 
 
 def overlapping(left: DataFrame, right: DataFrame, width: int) -> DataFrame:

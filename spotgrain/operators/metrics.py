@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.scalar import robust_divide
+
 
 def histogram(df: DataFrame, value: str) -> DataFrame:
     return df.groupBy(F.col(value).alias("value")).agg(F.count("*").alias("n"))
@@ -17,9 +19,9 @@ def quantiles(df: DataFrame, key: str, value: str, at: tuple[float, ...] = (0.25
 
 
 def effective_diversity(df: DataFrame, key: str, part: str, weight: Column) -> DataFrame:
-    """1 / sum of squared shares of the parts of each key."""
+    """1 / sum of squared shares of the parts of each key; NaN without weight."""
     s = df.groupBy(key, part).agg(F.sum(weight).alias("w"))
-    return s.groupBy(key).agg((F.sum("w") * F.sum("w") / F.sum(F.col("w") * F.col("w"))).alias("diversity"))
+    return s.groupBy(key).agg(robust_divide(F.sum("w") * F.sum("w"), F.sum(F.col("w") * F.col("w"))).alias("diversity"))
 
 
 def n50(df: DataFrame, key: str, value: str) -> DataFrame:
@@ -32,12 +34,14 @@ def n50(df: DataFrame, key: str, value: str) -> DataFrame:
 
 
 def benjamini_hochberg(df: DataFrame, p: str, *keys: str) -> DataFrame:
-    """Adjusted p-values within ``keys``; ties share the smaller."""
-    up = Window.partitionBy(*keys).orderBy(p)
-    n = F.count("*").over(Window.partitionBy(*keys))
-    down = Window.partitionBy(*keys).orderBy(F.desc(p)).rangeBetween(Window.unboundedPreceding, 0)
-    r = df.withColumn("bh_rank", (F.rank().over(up) + F.count("*").over(Window.partitionBy(*keys, p)) - 1)).withColumn("bh_n", n)
-    return r.withColumn("adjusted", F.least(F.lit(1.0), F.min(F.col(p) * F.col("bh_n") / F.col("bh_rank")).over(down))).drop("bh_rank", "bh_n")
+    """Adjusted p-values within ``keys``; ties share the smaller.  The windows
+    run over distinct p-values with their counts."""
+    h = df.groupBy(*keys, p).agg(F.count("*").alias("bh_c"))
+    up = Window.partitionBy(*keys).orderBy(p).rowsBetween(Window.unboundedPreceding, 0)
+    down = Window.partitionBy(*keys).orderBy(F.desc(p)).rowsBetween(Window.unboundedPreceding, 0)
+    r = h.withColumn("bh_rank", F.sum("bh_c").over(up)).withColumn("bh_n", F.sum("bh_c").over(Window.partitionBy(*keys)))
+    r = r.withColumn("adjusted", F.least(F.lit(1.0), F.min(F.col(p) * F.col("bh_n") / F.col("bh_rank")).over(down)))
+    return df.join(r.select(*keys, p, "adjusted"), [*keys, p])
 
 
 def running_occurrence(df: DataFrame, key: str, *order: str) -> DataFrame:

@@ -5,12 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.scalar import robust_divide
+
 
 def size_factors(matrix: DataFrame) -> DataFrame:
-    """(barcode, size_factor): a barcode's total over the median total."""
+    """(barcode, size_factor): a barcode's total over the median total; NaN if
+    that is 0."""
     t = matrix.groupBy("barcode").agg(F.sum("umis").alias("total"))
     m = t.groupBy("total").agg(F.count("*").alias("n")).agg(F.expr("percentile(total, 0.5D, n)").alias("m"))
-    return t.crossJoin(F.broadcast(m)).select("barcode", (F.col("total") / F.col("m")).alias("size_factor"))  # one row
+    return t.crossJoin(F.broadcast(m)).select("barcode", robust_divide(F.col("total"), F.col("m")).alias("size_factor"))  # one row
 
 
 def cluster_means(matrix: DataFrame, clusters: DataFrame) -> DataFrame:

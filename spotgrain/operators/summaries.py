@@ -10,6 +10,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.scalar import robust_divide
+
 
 def with_cells(mol: DataFrame, cells: DataFrame) -> DataFrame:
     """``mol`` with in_cell: whether the barcode is among ``cells``."""
@@ -17,6 +19,14 @@ def with_cells(mol: DataFrame, cells: DataFrame) -> DataFrame:
     return mol.join(flag, "barcode", "left").withColumn("in_cell", F.coalesce("in_cell", F.lit(False)))
 
 
+def barcode_summary(mol: DataFrame) -> DataFrame:
+    """Per barcode: umis, reads, features and the share of duplicate reads.
+    Entries first, so the features are a plain count."""
+    e = mol.groupBy("barcode", "feature").agg(F.count("*").alias("u"), F.sum("reads").alias("r"))
+    s = e.groupBy("barcode").agg(F.sum("u").alias("umis"), F.sum("r").alias("reads"), F.count("*").alias("n_features"))
+    return s.withColumn("dup_frac", F.when(F.col("reads") > 0, (F.col("reads") - F.col("umis")) / F.col("reads")).otherwise(0.0))
+
+
 def usable_by(mol: DataFrame, cells: DataFrame, key: str) -> DataFrame:
     """Per key: umis and reads, and those in cells and in the background."""
     m = with_cells(mol, cells)
@@ -43,10 +53,11 @@ def bucketed(df: DataFrame, value: str, cutoffs: list[int]) -> DataFrame:
 
 
 def moments(df: DataFrame, key: str, value: str) -> DataFrame:
-    """Mean, population variance, coefficient of variation and dispersion."""
+    """Mean, population variance, coefficient of variation and dispersion (NaN
+    for a mean of 0)."""
     v = F.col(value)
     return df.groupBy(key).agg(
-        F.avg(v).alias("mean"), F.var_pop(v).alias("variance"), (F.stddev_pop(v) / F.avg(v)).alias("cv"), (F.var_pop(v) / F.avg(v)).alias("dispersion")
+        F.avg(v).alias("mean"), F.var_pop(v).alias("variance"), robust_divide(F.stddev_pop(v), F.avg(v)).alias("cv"), robust_divide(F.var_pop(v), F.avg(v)).alias("dispersion")
     )
 
 
@@ -72,18 +83,20 @@ def tag_calls(counts: DataFrame, least: int) -> DataFrame:
 
 
 def tag_correlations(counts: DataFrame, n_barcodes: int) -> DataFrame:
-    """(a, b, r): Pearson over all barcodes, zeros included, a < b.  Counts are
+    """(a, b, r): Pearson over all barcodes, zeros included, a < b; NaN for a
+    tag that is the same everywhere.  Counts are
     joined within a barcode, so a row makes as many pairs as the barcode has
     tags; it is for tag sets, not for whole feature lists."""
     c = counts.select("barcode", "tag", F.col("umis").cast("double").alias("v"))
     one = c.groupBy("tag").agg(F.sum("v").alias("s"), F.sum(F.col("v") * F.col("v")).alias("q"))
-    pair = c.select("barcode", F.col("tag").alias("a"), F.col("v").alias("va")).join(c.select("barcode", F.col("tag").alias("b"), F.col("v").alias("vb")), "barcode")
-    pair = pair.where("a < b").groupBy("a", "b").agg(F.sum(F.col("va") * F.col("vb")).alias("p"))
-    j = pair.join(one.select(F.col("tag").alias("a"), F.col("s").alias("sa"), F.col("q").alias("qa")), "a")
-    j = j.join(one.select(F.col("tag").alias("b"), F.col("s").alias("sb"), F.col("q").alias("qb")), "b")
+    met = c.select("barcode", F.col("tag").alias("a"), F.col("v").alias("va")).join(c.select("barcode", F.col("tag").alias("b"), F.col("v").alias("vb")), "barcode")
+    met = met.where("a < b").groupBy("a", "b").agg(F.sum(F.col("va") * F.col("vb")).alias("p"))
+    # All pairs of tags, of which there are few: two that share no barcode are correlated too.
+    side = lambda x: one.select(F.col("tag").alias(x), F.col("s").alias(f"s{x}"), F.col("q").alias(f"q{x}"))
+    j = side("a").join(F.broadcast(side("b")), F.col("a") < F.col("b")).join(met, ["a", "b"], "left").na.fill(0.0, ["p"])
     n = F.lit(float(n_barcodes))
-    spread = lambda s, q: F.sqrt(n * F.col(q) - F.col(s) * F.col(s))
-    return j.select("a", "b", ((n * F.col("p") - F.col("sa") * F.col("sb")) / (spread("sa", "qa") * spread("sb", "qb"))).alias("r"))
+    spread = lambda s, q: F.sqrt(F.greatest(n * F.col(q) - F.col(s) * F.col(s), F.lit(0.0)))
+    return j.select("a", "b", robust_divide(n * F.col("p") - F.col("sa") * F.col("sb"), spread("sa", "qa") * spread("sb", "qb")).alias("r"))
 
 
 def row_differences(left: DataFrame, right: DataFrame) -> DataFrame:

@@ -1,3 +1,3 @@
 """Queries over the driver's tables; importing the package registers them all."""
 
-from . import analysis, queries, sequences, summaries  # noqa: F401
+from . import analysis, queries, sequences, summaries, tables  # noqa: F401

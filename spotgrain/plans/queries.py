@@ -79,7 +79,7 @@ def normalised(spark, d):
     return matrix.normalised(_matrix(spark, d), 100.0).withColumn("value", F.round("value", 9))
 
 
-@query(M + ", n AS (SELECT count(*)::DOUBLE AS n FROM orders), s AS (SELECT feature, sum(umis)::DOUBLE AS s, sum(umis * umis)::DOUBLE AS q FROM x GROUP BY 1) SELECT feature, round(s / n, 9) AS mean, round((q - s * s / n) / (n - 1), 9) AS variance, round((q - s * s / n) / (n - 1) / (s / n), 6) AS dispersion FROM s, n")
+@query(M + ", n AS (SELECT count(*)::DOUBLE AS n FROM orders), s AS (SELECT feature, sum(umis)::DOUBLE AS s, sum(umis * umis)::DOUBLE AS q FROM x GROUP BY 1) SELECT feature, round(s / n, 9) AS mean, round(q / n - s * s / n / n, 9) AS variance, round((q / n - s * s / n / n) / (s / n), 6) AS dispersion FROM s, n")
 def dispersion(spark, d):
     r = matrix.dispersion(_matrix(spark, d), table(spark, d, "orders").count())
     return r.select("feature", F.round("mean", 9).alias("mean"), F.round("variance", 9).alias("variance"), F.round("dispersion", 6).alias("dispersion"))
@@ -184,12 +184,12 @@ def interval_join(spark, d):
     return joins.interval_join(table(spark, d, "part").select("p_partkey"), "p_partkey", s, "lo", "hi", 32).select("p_partkey", "s_suppkey")
 
 
-@query("SELECT event_id, user_id, last_value(CASE WHEN event_type = 'purchase' THEN value END IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY ts RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) IS NOT NULL AS bought_before FROM events")
+@query("SELECT l.event_id, l.user_id, arg_max(r.value, (r.ts, r.event_id)) AS last_value FROM events l LEFT JOIN events r ON l.user_id = r.user_id AND r.ts <= l.ts AND r.event_type = 'purchase' AND r.value IS NOT NULL GROUP BY 1, 2")
 def asof_join(spark, d):
     e = table(spark, d, "events")
-    buys = e.where("event_type = 'purchase' AND value IS NOT NULL").select("user_id", "ts", "value")
-    r = joins.last_before(e.select("event_id", "user_id", "ts"), buys, "user_id", "ts", "value")
-    return r.select("event_id", "user_id", F.col("last_value").isNotNull().alias("bought_before"))
+    buys = e.where("event_type = 'purchase' AND value IS NOT NULL").select("user_id", "ts", "value", "event_id")
+    r = joins.last_before(e.select("event_id", "user_id", "ts"), buys, "user_id", "ts", "value", "event_id")
+    return r.select("event_id", "user_id", "last_value")
 
 
 @query("SELECT clonotype, count(*) AS frequency, round(count(*) / (sum(count(*)) OVER ())::DOUBLE, 9) AS proportion FROM (SELECT array_to_string(list_sort(list_distinct(list(l_partkey))), ';') AS clonotype FROM lineitem GROUP BY l_orderkey) GROUP BY 1")
