@@ -38,6 +38,35 @@ def low_support(counts: DataFrame) -> DataFrame:
     return c.withColumn("low", (F.col("reads") < F.col("top")) | (ties > 1)).drop("top")
 
 
+def deduplicated(counts: DataFrame) -> DataFrame:
+    """(barcode, gene, umi, reads) of molecules after correction: one read of
+    each corrected UMI moves before genes of low support are told, the rest
+    after it, and genes of low support and keys without reads go."""
+    c = correct_umis(counts).withColumn("moves", F.col("corrected") != F.col("umi"))
+    keys = ["barcode", "gene", "umi"]
+    got = c.where("moves").groupBy("barcode", "gene", F.col("corrected").alias("umi")).agg(F.count("*").alias("n_in"), F.sum("reads").alias("reads_in"))
+    c = c.join(got, keys, "left").na.fill(0, ["n_in", "reads_in"])
+    before = F.col("reads") - F.when(F.col("moves"), 1).otherwise(0) + F.col("n_in")
+    after = F.when(F.col("moves"), 0).otherwise(F.col("reads")) + F.col("reads_in")
+    c = low_support(c.select(*keys, before.alias("reads"), after.alias("after")))
+    return c.where("NOT low AND after > 0").select(*keys, F.col("after").alias("reads"))
+
+
+def corrected_features(observed: DataFrame, known: DataFrame, threshold: float = 0.975) -> DataFrame:
+    """(seq, quality, kind) with ``corrected``: a known feature barcode stays;
+    else the likeliest one substitution away, its weight the error at the base
+    (quality up to 33) times the feature's share of its kind in ``known``
+    (kind, seq, share); null under ``threshold`` of all weights."""
+    exact = known.select("kind", "seq", F.lit(True).alias("is_known"))
+    seen = observed.join(exact, ["kind", "seq"], "left")
+    trial = seen.where("is_known IS NULL").select("kind", F.col("seq").alias("seen"), "quality", F.posexplode(neighbours(F.col("seq"))).alias("i", "seq")).distinct()
+    q = F.least(F.get("quality", F.floor(F.col("i") / 3).cast("int")), F.lit(33))
+    hit = trial.withColumn("p", F.pow(F.lit(10.0), -q / 10.0)).join(known, ["kind", "seq"]).withColumn("weight", F.col("p") * F.col("share"))
+    best = hit.groupBy("kind", "seen", "quality").agg(F.max(F.struct("weight", "seq")).alias("b"), F.sum("weight").alias("t"))
+    best = best.where((F.col("t") > 0) & (F.col("b.weight") >= threshold * F.col("t"))).select("kind", F.col("seen").alias("seq"), "quality", F.col("b.seq").alias("found"))
+    return seen.join(best, ["kind", "seq", "quality"], "left").select("kind", "seq", "quality", F.when(F.col("is_known"), F.col("seq")).otherwise(F.col("found")).alias("corrected"))
+
+
 def correct_barcodes(observed: DataFrame, known: DataFrame, threshold: float = 0.975, max_errors: float = 1.0) -> DataFrame:
     """(barcode, quality) with ``corrected``: of the known barcodes one
     substitution away the likeliest, null if none is likely enough.

@@ -1,3 +1,3 @@
 """Queries over the driver's tables; importing the package registers them all."""
 
-from . import analysis, modelling, queries, repertoire, reports, sequences, summaries, tables  # noqa: F401
+from . import analysis, modelling, pipelines, queries, repertoire, reports, sequences, summaries, tables  # noqa: F401

@@ -1,5 +1,6 @@
 """Operators on literal cases, and formats written and read again."""
 
+import gzip
 import math
 
 import pytest
@@ -7,23 +8,42 @@ import pytest
 from spotgrain.operators import correction, sampling
 from spotgrain.sources import formats
 
-KNOWN = [("AAAAA", 100), ("AAGAC", 11), ("ACGAA", 2), ("ACGTT", 0)]
+#: A substitution weighs 10^((33 - q) / 10) times one more than the count.
+KNOWN = [("CCCC", 40), ("CCGG", 3), ("TTTT", 0)]
 
 
 @pytest.mark.parametrize(
     ("seen", "quality", "want"),
     [
-        ("AAAAA", [34, 34, 34, 66, 66], None),
-        ("AAAAT", [66, 66, 66, 66, 40], "AAAAA"),
-        ("ACGAT", [66, 66, 66, 66, 66], None),
-        ("ACGAT", [66, 66, 66, 66, 40], "ACGAA"),
-        ("ACAAA", [66, 66, 66, 66, 40], "AAAAA"),
+        ("CCCA", [63, 63, 63, 63], "CCCC"),  # the only one near
+        ("CCCG", [60, 60, 60, 60], "CCCC"),  # 41 to 4: a share of 0.911
+        ("CCCG", [60, 60, 50, 60], None),  # 41 x 10^-2.7 to 4 x 10^-1.7: 0.506
+        ("CCCG", [60, 60, 40, 60], "CCGG"),  # 0.0818 to 0.798: 0.907
+        ("TTTA", [66, 66, 66, 33], None),  # an expected error of 1 and more
+        ("CCCC", [66, 66, 66, 66], None),  # known itself, and near no other
+        ("GGGG", [66, 66, 66, 66], None),
     ],
 )
 def test_correct_barcodes(spark, seen, quality, want):
     o = spark.createDataFrame([(seen, quality)], "barcode string, quality array<int>")
     known = spark.createDataFrame(KNOWN, "barcode string, count long")
-    assert [r.corrected for r in correction.correct_barcodes(o, known, 0.95).collect()] == [want]
+    assert [r.corrected for r in correction.correct_barcodes(o, known, 0.9).collect()] == [want]
+
+
+def test_deduplicated(spark):
+    # One read of AAA moves to AAC before the test, so gene 1 leads (4 to 3) and gene 2's AAC goes; the rest follows.
+    rows = [("b", 1, "AAC", 3), ("b", 1, "AAA", 2), ("b", 2, "AAC", 3), ("b", 2, "GGG", 1), ("c", 1, "TTT", 2), ("c", 2, "TTT", 2)]
+    df = spark.createDataFrame(rows, "barcode string, gene int, umi string, reads long")
+    got = {tuple(r) for r in correction.deduplicated(df).select("barcode", "gene", "umi", "reads").collect()}
+    assert got == {("b", 1, "AAC", 5), ("b", 2, "GGG", 1)}
+
+
+def test_corrected_features(spark):
+    known = spark.createDataFrame([("a", "AAA", 0.9), ("a", "AAT", 0.1), ("b", "CCC", 1.0)], "kind string, seq string, share double")
+    seen = [("a", "AAT", [30, 30, 30]), ("a", "AAG", [30, 30, 30]), ("a", "CAA", [10, 10, 10]), ("b", "CCG", [5, 5, 5]), ("b", "GGG", [5, 5, 5])]
+    df = spark.createDataFrame(seen, "kind string, seq string, quality array<int>")
+    got = {(r.kind, r.seq): r.corrected for r in correction.corrected_features(df, known).collect()}
+    assert got == {("a", "AAT"): "AAT", ("a", "AAG"): None, ("a", "CAA"): "AAA", ("b", "CCG"): "CCC", ("b", "GGG"): None}
 
 
 def test_thinned(spark):
@@ -70,6 +90,12 @@ def test_csv(spark, tmp_path):
 
 
 def test_mex(spark, tmp_path):
-    m = spark.createDataFrame([(1, 1, 5), (3, 1, 2), (2, 4, 1)], "feature long, barcode long, umis long")
-    formats.write_mex(m, f"{tmp_path}/mex", 3, 4)
+    m = spark.createDataFrame([(0, 0, 5), (2, 0, 2), (1, 3, 1)], "feature long, barcode long, umis long")
+    f = spark.createDataFrame([(k, f"id{k}", f"n{k}", "Gene") for k in range(3)], "feature long, id string, name string, type string")
+    b = spark.createDataFrame([(k, f"ACGT-{k}") for k in range(4)], "barcode long, name string")
+    formats.write_mex(m, f, b, f"{tmp_path}/mex")
     assert sorted(formats.read_mex(spark, f"{tmp_path}/mex").collect()) == sorted(m.collect())
+    lines = gzip.open(f"{tmp_path}/mex/matrix.mtx.gz", "rt").read().splitlines()
+    assert lines == ["%%MatrixMarket matrix coordinate integer general", "3 4 3", "1 1 5", "3 1 2", "2 4 1"]
+    assert gzip.open(f"{tmp_path}/mex/barcodes.tsv.gz", "rt").read() == "".join(f"ACGT-{k}\n" for k in range(4))
+    assert gzip.open(f"{tmp_path}/mex/features.tsv.gz", "rt").readline() == "id0\tn0\tGene\n"
