@@ -112,7 +112,7 @@ def gram_index(items: list[tuple[int, np.ndarray]], rate: float, q: int) -> Simp
     x.at = (np.arange(len(gram)) - np.repeat(np.cumsum([0, *sizes])[:-1], sizes))[order].astype(np.int32)
     x.gram, first = np.unique(gram[order], return_index=True)
     x.first = np.concatenate([first, [len(gram)]]).astype(np.int64)
-    x.shift = 64 - max(16, int(len(gram) * 8).bit_length())
+    x.shift = 64 - min(25, max(16, int(len(gram) * 32).bit_length()))
     x.seen = np.zeros(1 << (64 - x.shift), bool)
     x.seen[(x.gram >> np.uint64(x.shift)).astype(np.int64)] = True
     return x
@@ -151,6 +151,24 @@ def shared(x: SimpleNamespace, code: np.ndarray, items: tuple[int, int]) -> tupl
     return p, lo, hi - lo
 
 
+def live_hits(x: SimpleNamespace, p: np.ndarray, item: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
+    """Which hits lie on two neighbouring strips of diagonals that have as many
+    hits as a band of the item, or of a region, needs: no other can be in one.
+    Strips are counted by a hash, which can only count too many."""
+    out, diagonal, base = np.zeros(len(p), bool), p - at + size, x.base[item]
+    tests = [(x.step[base], x.bound[base])]
+    if x.q == Q and (x.size > REGION).any():
+        edits = min(int(x.rate * REGION), (REGION - Q) // Q)
+        tests.append((2 * (edits + 1), np.where(x.regular[item] > 0, REGION - Q + 1 - Q * edits, len(p) + 1)))
+    for width, need in tests:
+        key = item * np.int64(2 * size + 2) + diagonal // width
+        with np.errstate(over="ignore"):
+            low, own, high = (((key + k).astype(np.uint64) * SPREAD >> np.uint64(44)).astype(np.int64) for k in (-1, 0, 1))
+        count = np.bincount(own, minlength=1 << 20)
+        out |= count[own] + np.maximum(count[low], count[high]) >= need
+    return out
+
+
 def band_candidates(x: SimpleNamespace, code: np.ndarray, p: np.ndarray, first: np.ndarray, n: np.ndarray) -> list[tuple[int, int, int]]:
     """(piece, band, a position in it) of the bands that reach the bound; a
     band holds the diagonals from its own to two steps on."""
@@ -158,6 +176,10 @@ def band_candidates(x: SimpleNamespace, code: np.ndarray, p: np.ndarray, first:
         return []
     entry = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(first, n)
     p, item, at = np.repeat(p, n), x.item[entry].astype(np.int64), x.at[entry].astype(np.int64)
+    ok = live_hits(x, p, item, at, len(code))
+    if not ok.any():
+        return []
+    p, item, at = p[ok], item[ok], at[ok]
     # An entry belongs to its item and to each region around it.
     found = [(p, x.base[item], at)]
     if x.q == Q:
