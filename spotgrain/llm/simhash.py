@@ -423,7 +423,7 @@ def _centre_batches(batches: Iterator[pa.RecordBatch], width: int, similar: floa
     """Rows (component, salt, rank, uid, text), a group's centres (rank not 0)
     first, to (uid, verdict): 1 stays, -1 goes, 0 not decided."""
     group, index, sizes = None, {}, []
-    for b in batches:
+    for b in (whole.slice(at, 1000) for whole in batches for at in range(0, whole.num_rows, 1000)):
         uids, verdicts = [], []
         for component, salt, rank, uid, text in zip(*[b[c].to_pylist() for c in ("component", "salt", "rank", "uid", "text")]):
             if group != (component, salt):
