@@ -105,10 +105,10 @@ def alternate_bases(spark, d):
     return repertoire.alternate_bases(r, 10, 0.2).withColumns({"share": F.round("share", 6), "position": F.col("position").cast("long")})
 
 
-@query(S + ", b AS (SELECT id % 50 AS clonotype, id % 7 AS position, seq[1] AS base, ascii(qual[1]) - 33 AS quality FROM s), v AS (SELECT clonotype, position, base, max(quality) AS q, count(*) FILTER (quality >= 20) AS n FROM b WHERE base <> 'A' GROUP BY 1, 2, 3) SELECT DISTINCT clonotype FROM b WHERE clonotype NOT IN (SELECT clonotype FROM v WHERE q < 35 AND n < 2)")
+@query(S + ", b AS (SELECT id % 50 AS clonotype, id % 7 AS position, seq[1] AS base, ascii(qual[1]) - 33 AS quality FROM s), v AS (SELECT clonotype, position, base, max(quality) AS q, count(*) FILTER (quality >= 10) AS n FROM b WHERE base <> 'A' GROUP BY 1, 2, 3) SELECT DISTINCT clonotype FROM b WHERE clonotype NOT IN (SELECT clonotype FROM v WHERE q < 20 AND n < 2)")
 def supported_clonotypes(spark, d):
     r = _reads(spark, d).select((F.col("id") % 50).alias("clonotype"), (F.col("id") % 7).alias("position"), F.substr("seq", F.lit(1), F.lit(1)).alias("base"), F.lit("A").alias("reference_base"), (F.ascii("qual") - 33).alias("quality"))
-    return repertoire.supported(r, 35, 20)
+    return repertoire.supported(r, 20, 10)
 
 
 @query("SELECT array_to_string(list_filter([CASE WHEN o_totalprice <= 100000 THEN 'low_umi' END, CASE WHEN o_orderstatus <> 'F' THEN 'open' END, CASE WHEN o_custkey % 3 = 0 THEN 'third' END], lambda x: x IS NOT NULL), '+') AS failed, count(*) AS n FROM orders GROUP BY 1")

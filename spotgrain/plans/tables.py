@@ -101,9 +101,9 @@ def crowded_groups(spark, d):
     return selections.crowded(barcodes(spark, d), "sample", 14)
 
 
-@query(M + ", b AS (SELECT feature AS barcode, CAST(sum(CASE WHEN feature % 40 = 0 THEN reads * 20 ELSE reads END) AS BIGINT) AS reads FROM m GROUP BY 1), t AS (SELECT * FROM b ORDER BY reads DESC, barcode LIMIT 100), c AS (SELECT greatest(quantile_cont(reads, 0.75) + 3 * (quantile_cont(reads, 0.75) - quantile_cont(reads, 0.25)), 100.0) AS cutoff FROM t) SELECT barcode, reads, round(cutoff, 6) AS cutoff FROM t, c WHERE reads > cutoff")
+@query(M + ", b AS (SELECT feature AS barcode, CAST(sum(CASE WHEN feature % 150 = 0 THEN reads * 20 ELSE reads END) AS BIGINT) AS reads FROM m GROUP BY 1), t AS (SELECT * FROM b ORDER BY reads DESC, barcode LIMIT 100), c AS (SELECT greatest(quantile_cont(reads, 0.75) + 3 * (quantile_cont(reads, 0.75) - quantile_cont(reads, 0.25)), 100.0) AS cutoff FROM t) SELECT barcode, reads, round(cutoff, 6) AS cutoff FROM t, c WHERE reads > cutoff")
 def outlying_barcodes(spark, d):
-    value = F.when(F.col("feature") % 40 == 0, F.col("reads") * 20).otherwise(F.col("reads"))
+    value = F.when(F.col("feature") % 150 == 0, F.col("reads") * 20).otherwise(F.col("reads"))
     b = molecules(spark, d).groupBy(F.col("feature").alias("barcode")).agg(F.sum(value).alias("reads"))
     return _rounded(selections.outliers(b, "reads", 100, 100.0), "cutoff")
 
