@@ -149,3 +149,33 @@ def test_stream_agrees_with_batch(spark, tmp_path):
     q = first_of_key(stream, "at", "5 minutes", "g").writeStream.format("memory").queryName("firsts").option("checkpointLocation", f"{tmp_path}/d").trigger(availableNow=True).start()
     q.awaitTermination(120)
     assert Counter(r.g for r in spark.table("firsts").collect()) == {"a": 1, "b": 1}
+
+
+def test_component_variances(spark, counts):
+    m, n = spark.createDataFrame(rows_of(counts), MATRIX), counts.shape[1]
+    names = m.select("feature").distinct()
+    want = np.linalg.eigvalsh(np.corrcoef(np.log2(1 + counts)))[::-1]
+    got = modelling.component_variances(m, names, n).orderBy("first").collect()
+    assert [(r.first, r.last) for r in got] == [(j, j) for j in range(1, 7)] and [r.variance for r in got] == pytest.approx(want.tolist())
+    # More features than can be taken one by one: none is left out.
+    (r,) = modelling.component_variances(m, names, n, most=5).collect()
+    assert (r.first, r.last) == (1, 6) and r.variance == pytest.approx(want.sum())
+    # Features that are the same everywhere are in neither.
+    flat = m.union(spark.createDataFrame([(9, b, 2) for b in range(n)], MATRIX))
+    names = flat.select("feature").distinct()
+    for most in (5, 100):
+        got = modelling.component_variances(flat, names, n, most).collect()
+        assert sum(r.last - r.first + 1 for r in got) == 6 and sum(r.variance for r in got) == pytest.approx(6)
+    assert {r.feature for r in modelling.principal_components(flat, names, n, 1).collect()} == set(range(6))
+    assert modelling.component_variances(m.where("false"), names, n).collect() == []
+
+
+def test_component_variances_of_many_features(spark, tmp_path):
+    """2500 features, one of them in all barcodes."""
+    from spotgrain.plans.queries import QUERIES
+
+    spark.range(2500).selectExpr("id AS o_orderkey").write.parquet(f"{tmp_path}/orders.parquet")
+    part = "CASE WHEN id < 2500 THEN id * 20 + 3 ELSE 3 END AS l_partkey"
+    spark.range(1, 5000).selectExpr("id % 2500 AS l_orderkey", part, "1L AS l_suppkey", "id AS l_linenumber", "1.0D AS l_quantity").write.parquet(f"{tmp_path}/lineitem.parquet")
+    r = QUERIES["component_variances"](spark, str(tmp_path)).first()
+    assert (r.total, r.components) == (2499.0, 2499)
