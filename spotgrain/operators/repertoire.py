@@ -43,20 +43,39 @@ def contaminated(cells: DataFrame, group: list[str], factor: int, least_share: f
     return low.join(bad.select("clonotype"), "clonotype", "left_semi").select("barcode")
 
 
-def doublets(clonotypes: DataFrame) -> DataFrame:
+def doublets(clonotypes: DataFrame, most: int = 10) -> DataFrame:
     """(clonotype) of the clonotypes whose contigs are those of two others
-    together: candidates share a contig, found by an equality join, and one
-    that is a subset has its complement looked up."""
-    c = clonotypes.select("clonotype", "contigs")
-    rows = c.select("clonotype", F.explode("contigs").alias("contig"))
-    big = c.where(F.size("contigs") > 1)
-    small = rows.withColumnRenamed("clonotype", "part").join(big.select("clonotype", "contigs", F.explode("contigs").alias("contig")), "contig")
-    inner = small.where("part <> clonotype").groupBy("clonotype", "part", "contigs").agg(F.count("*").alias("n"))
-    part = c.select(F.col("clonotype").alias("part"), F.col("contigs").alias("own"))
-    inner = inner.join(part, "part").where(F.size("own") == F.col("n")).select("clonotype", "contigs", "own")
-    rest = inner.select("clonotype", F.array_sort(F.array_except("contigs", "own")).alias("rest"))
-    known = c.select(F.array_sort("contigs").alias("rest"))
-    return rest.join(known, "rest", "left_semi").select("clonotype").distinct()
+    together, none in both.  Of up to ``most`` contigs each split in two parts
+    is made and the parts are looked up; of more, whose splits double with each
+    contig, the parts come from ``_parts``."""
+    c = clonotypes.select("clonotype", F.array_sort(F.array_distinct("contigs")).alias("contigs"))
+    few = c.where(F.size("contigs").between(2, most)).select("*", F.explode(F.expr("sequence(1, shiftleft(1, size(contigs) - 1) - 1)")).alias("split"))
+    # The last contig is never in the part, so that a split comes once.
+    side = "filter(contigs, (x, i) -> (shiftright(split, i) & 1) = {})"
+    few = few.select("clonotype", F.expr(side.format(1)).alias("part"), F.expr(side.format(0)).alias("rest"))
+    few = few.join(c.select(F.col("contigs").alias("part")), "part", "left_semi").select("clonotype", "rest")
+    both = few.unionByName(_parts(c, most))
+    return both.join(c.select(F.col("contigs").alias("rest")), "rest", "left_semi").select("clonotype").distinct()
+
+
+def _parts(c: DataFrame, most: int) -> DataFrame:
+    """(clonotype, rest): for clonotypes of more than ``most`` contigs, what
+    clonotypes inside of them leave.  Of two parts one has the rarest contig of
+    the whole, as its own rarest: an equality join on the three rarest contigs
+    of a part (two in clonotypes of over 100), so that frequent ones bring no
+    pairs together."""
+    rows = c.select("*", F.explode("contigs").alias("contig"))
+    n = rows.groupBy("contig").agg(F.count("*").alias("n"))
+    by_n = F.transform(F.array_sort(F.collect_list(F.struct("n", "contig"))), lambda x: x["contig"])
+    c = rows.join(n, "contig").groupBy("clonotype", "contigs").agg(by_n.alias("o"))
+    part = c.select(F.col("contigs").alias("part"), "o", F.explode(F.array(F.lit(2), F.lit(3))).alias("depth"))
+    part = part.select("part", "depth", F.expr("slice(o, 1, depth)").alias("key"))
+    pairs = "transform(slice(o, 2, size(o)), x -> array(o[0], x))"
+    triples = "flatten(transform(slice(o, 2, size(o)), (x, i) -> transform(slice(o, i + 3, size(o)), y -> array(o[0], x, y))))"
+    whole = c.where(F.size("contigs") > most).withColumn("depth", F.when(F.size("o") > 100, 2).otherwise(3))
+    whole = whole.select("clonotype", "contigs", "depth", F.explode(F.expr(f"concat(array(array(o[0])), {pairs}, IF(depth = 3, {triples}, array()))")).alias("key"))
+    inside = (F.size("part") < F.size("contigs")) & (F.size(F.array_except("part", "contigs")) == 0)
+    return whole.join(part, ["depth", "key"]).where(inside).select("clonotype", F.array_except("contigs", "part").alias("rest"))
 
 
 def weak_chains(cells: DataFrame, chain: str, group: str, least_share: float) -> DataFrame:
